@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints
+from . import decontaminate, fingerprints
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -15,7 +15,11 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints,)}
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op5_decontamination)}
 
 #: Queries that SQL expresses on whole tables.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op5_decontamination": decontaminate.ORACLE_SQL}
