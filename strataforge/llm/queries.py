@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprints, pii, sharding
+from . import decontaminate, fingerprints, pii, sharding, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.warc_round_trip(_read(spark, sf_dir, "pages"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.reshard_documents(_read(spark, sf_dir, "documents"))
 
@@ -27,7 +31,7 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op5_decontamination, op7_sharding, op9_pii)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op5_decontamination, op6_warc, op7_sharding, op9_pii)}
 
 #: Queries that SQL expresses on whole tables.
 ORACLE_SQL: dict[str, str] = {"op5_decontamination": decontaminate.ORACLE_SQL}
