@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprints, html_extract, pii, sharding, warc
+from . import decontaminate, fingerprints, html_extract, ngram_join, pii, sharding, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(_read(spark, sf_dir, "pages"))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_documents(_read(spark, sf_dir, "documents"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
@@ -35,7 +39,7 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_html_text, op5_decontamination, op6_warc, op7_sharding, op9_pii)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_html_text, op3_ngram_join, op5_decontamination, op6_warc, op7_sharding, op9_pii)}
 
 #: Queries that SQL expresses on whole tables.
 ORACLE_SQL: dict[str, str] = {"op5_decontamination": decontaminate.ORACLE_SQL}
