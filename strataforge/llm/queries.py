@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprints, html_extract, ngram_join, pii, sharding, warc
+from . import decontaminate, fingerprints, html_extract, ngram_join, pii, sharding, spiece, warc
+
+#: A public merge-type model; every executor has it at this place.
+SENTENCEPIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -35,11 +38,15 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.reshard_documents(_read(spark, sf_dir, "documents"))
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spiece.round_trip(_read(spark, sf_dir, "documents"), SENTENCEPIECE_MODEL)
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_html_text, op3_ngram_join, op5_decontamination, op6_warc, op7_sharding, op9_pii)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_html_text, op3_ngram_join, op5_decontamination, op6_warc, op7_sharding, op8_sentencepiece, op9_pii)}
 
 #: Queries that SQL expresses on whole tables.
 ORACLE_SQL: dict[str, str] = {"op5_decontamination": decontaminate.ORACLE_SQL}
