@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprints, html_extract, ngram_join, pii, sharding, spiece, warc
+from . import decontaminate, fingerprints, html_extract, ngram_join, pii, sharding, spiece, toxicity, warc
 
 #: A public merge-type model; every executor has it at this place.
 SENTENCEPIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -26,6 +26,10 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_documents(_read(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
@@ -46,7 +50,7 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_html_text, op3_ngram_join, op5_decontamination, op6_warc, op7_sharding, op8_sentencepiece, op9_pii)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_html_text, op3_ngram_join, op4_toxicity, op5_decontamination, op6_warc, op7_sharding, op8_sentencepiece, op9_pii)}
 
 #: Queries that SQL expresses on whole tables.
 ORACLE_SQL: dict[str, str] = {"op5_decontamination": decontaminate.ORACLE_SQL}
