@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .columns import lower_ascii, words
+from .columns import lower_ascii, window_hashes, words
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
@@ -32,20 +32,20 @@ def item_words(text: Column) -> Column:
     return words(lower_ascii(F.coalesce(text, F.lit(""))), SEPARATORS)
 
 
-def _fingerprint(w: Column, at: Column) -> Column:
+def _fingerprint(grams: Column, at: Column) -> Column:
     """The least K-gram hash of the window that starts at ``at``."""
-    grams = [F.xxhash64(F.lit(K), *[F.get(w, at + (g + j)) for j in range(K)]) for g in range(WINDOW - K + 1)]
-    return F.least(*grams)
+    return F.array_min(F.slice(grams, at + 1, WINDOW - K + 1))
 
 
 def benchmark_windows(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
     """(win, len, fp, items): distinct windows, the winnowed fingerprint (of full ones) and the ids they occur in."""
     split = benchmark.select(F.col(item).alias("item"), item_words(F.col(text)).alias("w")).where(F.size("w") > 0)
-    at = split.select("item", "w", F.explode(F.sequence(F.lit(0), F.greatest(F.size("w") - WINDOW, F.lit(0)))).alias("i"))
+    split = split.withColumn("g", window_hashes(F.col("w"), K))
+    at = split.select("item", "w", "g", F.explode(F.sequence(F.lit(0), F.greatest(F.size("w") - WINDOW, F.lit(0)))).alias("i"))
     n = F.least(F.size("w"), F.lit(WINDOW))
     runs = at.select(
         "item", F.concat_ws(" ", F.slice("w", F.col("i") + 1, WINDOW)).alias("win"), n.alias("len"),
-        F.when(n == WINDOW, _fingerprint(F.col("w"), F.col("i"))).alias("fp"),
+        F.when(n == WINDOW, _fingerprint(F.col("g"), F.col("i"))).alias("fp"),
     )
     return runs.groupBy("win", "len", "fp").agg(F.collect_set("item").alias("items"))
 
@@ -67,19 +67,22 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, key: str, text: str) -> D
     hint = F.broadcast if small else (lambda df: df)
     split = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key), item_words(F.col(text)).alias("w"))
     kept = ["row", key, "n_words"]
-    at = split.select("row", key, F.size("w").cast("bigint").alias("n_words"), "w", F.explode(F.sequence(F.lit(-1), F.size("w") - 1)).alias("i"))
-    i, w = F.col("i"), F.col("w")
-    probe = lambda size, h: F.struct(F.lit(size).alias("len"), h.alias("h"))
-    hashed = {size: _fingerprint(w, i) if size == WINDOW else F.xxhash64(F.lit(size), *[F.get(w, i + j) for j in range(size)]) for size in lengths}
-    probes = [F.when((i >= 0) & (i + size <= F.size("w")), probe(size, h)) for size, h in hashed.items()]
-    # documents keep a row of length 0, whose key is their own so that a shuffle spreads them
-    own = F.when(i < 0, probe(0, F.col("row")))
-    at = at.withColumn("p", F.coalesce(own, probes[0]) if len(probes) == 1 else F.explode(F.array_compact(F.array(own, *probes))))
-    at = at.where(F.col("p").isNotNull()).withColumns({"len": F.col("p.len"), "h": F.col("p.h")}).drop("p")
+    counted = split.select("row", key, F.size("w").cast("bigint").alias("n_words"), "w", window_hashes(F.col("w"), K).alias("g"))
+    # a document keeps a row of length 0, whose hash is its own so that a shuffle spreads them
+    at = counted.select(*kept, "w", "g", F.explode(F.sequence(F.lit(-1), F.size("w") - 1)).alias("i"))
+    i, w, size = F.col("i"), F.col("w"), F.col("len")
+    if len(lengths) > 1:
+        at = at.withColumn("len", F.explode(F.array(*[F.lit(n) for n in lengths]))).where((i >= 0) | (size == lengths[0]))
+    else:
+        at = at.withColumn("len", F.lit(lengths[0] if lengths else WINDOW))
+    at = at.where((i < 0) | (i + size <= F.size("w")))
+    h = F.when(i < 0, F.col("row")).when(size == WINDOW, _fingerprint(F.col("g"), F.greatest(i, F.lit(0))))
+    at = at.withColumn("h", h.otherwise(F.xxhash64(F.slice(w, F.greatest(i, F.lit(0)) + 1, size)))).drop("g")
+    at = at.withColumn("len", F.when(i < 0, F.lit(0)).otherwise(size))
     run = F.when(F.col("len") == 0, F.col("row").cast("string")).otherwise(F.concat_ws(" ", F.slice(w, F.greatest(i, F.lit(0)) + 1, F.col("len"))))
     if not small:  # the words don't have to cross the shuffle
         at = at.withColumn("win", run).drop("w")
-    known = windows.select("len", F.coalesce("fp", F.xxhash64(F.col("len"), *[F.get(F.split("win", " "), j) for j in range(WINDOW)])).alias("h")).distinct()
+    known = windows.select("len", F.coalesce("fp", F.xxhash64(F.split("win", " "))).alias("h")).distinct()
     known = known.withColumn("near", F.lit(True))
     near = at.join(hint(known), ["len", "h"], "left").where(F.col("near") | (F.col("len") == 0))
     if small:
