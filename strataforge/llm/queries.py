@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprints, html_extract, ngram_join, pii, sharding, spiece, toxicity, warc
+from . import decontaminate, fingerprints, html_extract, licenses, ngram_join, pii, sharding, spiece, toxicity, warc
 
 #: A public merge-type model; every executor has it at this place.
 SENTENCEPIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -50,7 +50,16 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_html_text, op3_ngram_join, op4_toxicity, op5_decontamination, op6_warc, op7_sharding, op8_sentencepiece, op9_pii)}
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(_read(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_fingerprints, op2_html_text, op3_ngram_join, op4_toxicity, op5_decontamination, op6_warc, op7_sharding, op8_sentencepiece, op9_pii, op10_licenses,
+    )
+}
 
 #: Queries that SQL expresses on whole tables.
 ORACLE_SQL: dict[str, str] = {"op5_decontamination": decontaminate.ORACLE_SQL}
