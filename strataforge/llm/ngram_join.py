@@ -10,14 +10,15 @@ A document is the set of 64-bit hashes of its distinct ``N``-word shingles (all
 * **Allocation by cost.** Per band, the number of sets (a count over all data) prices two plans: segments that must
   be equal (one signature each), or fewer, larger segments that may differ by one shingle (a signature for the segment
   and for each of its one-deletion neighbours; if every segment differed in two or more, the sets would differ in more
-  than H). The first plan takes ``SPARE`` segments more than H + 1, and every set leaves out its ``SPARE`` most frequent
-  signatures: of the SPARE + 1 equal segments of a linked pair the least frequent is left out by neither, whose ranking
-  is the same for both. So signatures that many sets share, such as empty segments or parts of common passages, cost
+  than H). The first plan takes ``SPARE`` segments more than H + 1, and every set leaves out its most frequent signatures,
+  ``SPARE`` or, by its own size, more, but fewer than the equal segments that a link guarantees: the least frequent of
+  these is left out by neither set, whose ranking is the same for both. So signatures that many sets share, such as empty segments or parts of common passages, cost
   nothing, and no link is lost.
 * **Verification.** Sets that share a signature are compared exactly. Equal sets are one class from the start. In a
   bucket, every member is first compared with one member; members that are linked by then, directly or not, need no
-  comparison with each other. Buckets that still hold several components go through a second round with other
-  representatives, and in the last round all remaining pairs of different components are compared.
+  comparison with each other. That member is the one that shares most with others, as the text that the others were
+  copied from does. Buckets that still hold several components go through further rounds with other members, and in
+  the last round all remaining pairs of different components are compared.
 
 Only components are returned, so links inside a component need not all be found; every component is exact.
 
@@ -111,16 +112,16 @@ def shingle_sets(texts: list[bytes], n: int = N) -> list[np.ndarray]:
     return out
 
 
-def in_batches(texts: list[str | None], limit: int = 1 << 20) -> Iterator[np.ndarray]:
-    """Shingle sets of many texts, some ``limit`` bytes at a time."""
+def in_batches(texts: pa.Array, limit: int = 1 << 18) -> Iterator[np.ndarray]:
+    """Shingle sets of a column of texts, some ``limit`` bytes at a time, so a worker holds little besides its batch."""
     part, size = [], 0
-    for t in texts:
-        b = (t or "").encode()
-        part.append(b)
-        size += len(b)
-        if size >= limit:
-            yield from shingle_sets(part)
-            part, size = [], 0
+    for at in range(0, len(texts), 256):
+        for b in texts.slice(at, 256).cast(pa.binary()).to_pylist():
+            part.append(b or b"")
+            size += len(part[-1])
+            if size >= limit:
+                yield from shingle_sets(part)
+                part, size = [], 0
     yield from shingle_sets(part)
 
 
@@ -187,7 +188,7 @@ def _set_key(s: np.ndarray) -> int:
 def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n, key = [], []
-        for s in in_batches(batch.column("text").to_pylist()):
+        for s in in_batches(batch.column("text")):
             n.append(len(s))
             key.append(_set_key(s) if len(s) else None)
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(key, pa.int64())], names=["doc_id", "n", "key"])
@@ -196,7 +197,7 @@ def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows, size = [], 0
-        for s in in_batches(batch.column("text").to_pylist()):
+        for s in in_batches(batch.column("text")):
             rows.append((_set_key(s) if len(s) else None, s.view(np.int64)))
             size += len(s)
             if size > 1 << 19:
@@ -223,7 +224,7 @@ def _signer(plans: dict[int, tuple[int, bool]]):
 
         parts, size = [], 0
         for batch in batches:
-            for s in in_batches(batch.column("text").to_pylist()):
+            for s in in_batches(batch.column("text")):
                 key = _set_key(s) if len(s) else None
                 if key is None or key in seen:
                     continue
@@ -245,16 +246,28 @@ def _signer(plans: dict[int, tuple[int, bool]]):
     return sign
 
 
-def _candidates(docs: DataFrame, plans: dict[int, tuple[int, bool]]) -> DataFrame:
-    """(sig, key): the signatures that several classes share, without those that a class may leave out."""
+def _candidates(docs: DataFrame, plans: dict[int, tuple[int, bool]], classes: DataFrame) -> DataFrame:
+    """(sig, key, weight): the signatures that several classes share, without those that a class may leave out.
+
+    A set of n shingles differs from linked ones of its own band in at most differences(n) segments, so it may leave
+    out all but one of the rest; under the scheme of the band below it may leave out ``SPARE``.
+    """
     rows = docs.mapInArrow(_signer(plans), "sig bigint, key bigint")
     bucket = Window.partitionBy("sig")
     ends = rows.withColumns({"a": F.min("key").over(bucket), "b": F.max("key").over(bucket)})
     shared = ends.where("a <> b").select("sig", "key").distinct().withColumn("n", F.count(F.lit(1)).over(bucket))
-    order = Window.partitionBy("key", F.col("sig").bitwiseAND(F.lit(3))).orderBy(F.desc("n"), "sig")
-    ranked = shared.withColumn("rank", F.row_number().over(order))
-    wide = F.col("sig").bitwiseAND(F.lit(2)) == 2
-    return ranked.where(wide | (F.col("rank") > SPARE)).select("sig", "key")
+    sized = shared.join(classes.select("key", F.col("n").alias("size")), "key")
+    mark, size = F.col("sig").bitwiseAND(F.lit(3)), F.col("size")
+    order = Window.partitionBy("key", mark).orderBy(F.desc("n"), "sig")
+    # what a set shares with how many: the text that others were copied from shares most
+    weight = F.sum("n").over(Window.partitionBy("key"))
+    ranked = sized.withColumns({"rank": F.row_number().over(order), "weight": weight})
+    own = F.floor(F.ln(size) / math.log(BAND) + 1e-9).cast("int")
+    segments = F.create_map(*[F.lit(x) for b, (m, _) in sorted(plans.items()) for x in (b, m)]) if plans else F.create_map(F.lit(0), F.lit(0))
+    most = F.floor(size * 100 / PERCENT) - size
+    spare = F.when(own % 2 == mark % 2, F.coalesce(F.try_element_at(segments, own), F.lit(0)) - most - 1).otherwise(SPARE)
+    spare = F.when(mark >= 2, 0).otherwise(F.greatest(spare, F.lit(SPARE)))
+    return ranked.where(F.col("rank") > spare).select("sig", "key", "weight")
 
 
 def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -285,29 +298,46 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
+#: At most so many rounds in which buckets are compared with one member, before all remaining pairs are.
+STAR_ROUNDS = 4
+
+
 def _resolve(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """The links (a, b), a < b, that hold every component together. rows: (sig, key)."""
+    """The links (a, b) that hold every component together. rows: (sig, key, weight)."""
     bucket = Window.partitionBy("sig")
-    first = rows.withColumn("a", F.min("key").over(bucket)).where("a <> key").select("a", F.col("key").alias("b")).distinct()
-    links = cut(_verify(first, sets), "links")
-    for last in (False, True):
-        if links.isEmpty():
-            open_rows = rows.withColumn("comp", F.col("key"))
+    me = F.struct("weight", "key", "comp")
+    open_rows, links, tried = rows.withColumn("comp", F.col("key")), None, None
+    n, last = 0, False
+    while True:
+        # buckets of one component need nothing more
+        ends = open_rows.withColumns({"x": F.min("comp").over(bucket), "y": F.max("comp").over(bucket)}).where("x <> y").drop("x", "y")
+        if not last:
+            # the heaviest member, and from the second round on the heaviest outside its component
+            top = F.max(me).over(bucket)
+            hubs = ends.withColumn("top", top)
+            if n:
+                other = F.max(F.when(F.col("comp") != F.col("top.comp"), me)).over(bucket)
+                hubs = hubs.withColumn("top", F.coalesce(other, F.col("top")))
+            near = hubs.where("comp <> top.comp").select("key", F.col("top.key").alias("hub"))
+            pairs = near.select(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b")).distinct()
         else:
-            open_rows = rows.join(components(links), "key", "left").withColumn("comp", F.coalesce("comp", "key"))
-        # a bucket of two keys has been compared; one of a single component needs no more
-        ends = open_rows.withColumns({"x": F.min("comp").over(bucket), "y": F.max("comp").over(bucket), "n": F.count(F.lit(1)).over(bucket), "a": F.min("key").over(bucket), "z": F.max("key").over(bucket)})
-        ends = ends.where("x <> y and n > 2")
+            left = ends.select("sig", F.col("key").alias("a"), F.col("comp").alias("ac"))
+            right = ends.select("sig", F.col("key").alias("b"), F.col("comp").alias("bc"))
+            pairs = left.join(right, "sig").where("a < b and ac <> bc").select("a", "b").distinct()
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = cut(pairs, "pairs")
+        found = cut(_verify(pairs, sets), "links")
+        none = found.isEmpty()
+        links = found if links is None else links if none else cut(links.union(found), "links")
         if last:
-            left = ends.select("sig", F.col("key").alias("p"), F.col("comp").alias("pc"), "a", "z")
-            right = ends.select("sig", F.col("key").alias("q"), F.col("comp").alias("qc"))
-            # pairs with the least or greatest key of the bucket were compared before
-            pairs = left.join(right, "sig").where("p < q and pc <> qc and p <> a and q <> z").select(F.col("p").alias("a"), F.col("q").alias("b")).distinct()
-        else:
-            top = F.max(F.struct("key", "comp")).over(bucket)
-            pairs = ends.withColumn("t", top).where("key <> a and key <> t.key and comp <> t.comp").select(F.col("key").alias("a"), F.col("t.key").alias("b")).distinct()
-        links = cut(links.union(_verify(pairs, sets)), "links")
-    return links
+            return links
+        tried = pairs if tried is None else tried.union(pairs)
+        if not none:
+            comps = components(links).withColumnRenamed("comp", "c2")
+            open_rows = cut(rows.join(comps, "key", "left").withColumn("comp", F.coalesce("c2", "key")).drop("c2"), "open")
+        n += 1
+        last = none or n == STAR_ROUNDS
 
 
 def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -320,7 +350,7 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     counts = {r["band"]: r["c"] for r in classes.groupBy(band.alias("band")).agg(F.count(F.lit(1)).alias("c")).collect()}
     bands = {b for b in counts} | {b - 1 for b in counts if b}
     plans = {b: plan(b, counts.get(b, 0) + counts.get(b + 1, 0)) for b in bands if differences(band_top(b))}
-    rows = cut(_candidates(docs, plans), "candidates")
+    rows = cut(_candidates(docs, plans, classes), "candidates")
     wanted = rows.select("key").distinct().join(classes.select("key", "rep"), "key").select(F.col("rep").alias("doc_id"))
     texts = docs.join(wanted, "doc_id", "left_semi")
     known = rows.select("key").distinct()
