@@ -8,7 +8,8 @@ r, c ~ Gamma(2, 1) and beta ~ U(0, 1) from its hash, and its weight w gives
 The smallest a wins, and the sample is (shingle, t): two documents draw the same sample with the probability of
 their generalised Jaccard similarity. A shingle takes part in one of ``BINS`` draws, chosen by its hash, so a text
 costs one draw per distinct shingle instead of ``BINS``. Likeness is the share of equal samples among the bins that
-either document fills; bins that neither fills say nothing.
+either document fills; bins that neither fills say nothing. Limit: all filled bins count alike, so the likeness of two
+texts of which a single shingle makes up most (one word repeated throughout) is that of their other shingles.
 
 Defined results: null and wordless texts have an empty fingerprint, and two empty ones have likeness 1. Texts with
 fewer than five words are one shingle. Equal texts have equal fingerprints.
