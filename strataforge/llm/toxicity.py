@@ -160,6 +160,10 @@ class Reader:
         return words | {f"{w[:n]}*" for n in PREFIXES for w in words if len(w) > n}
 
 
+def strongest(weights) -> float:
+    return float(sum(sorted(weights, reverse=True)[:STRONGEST]))
+
+
 class Scorer:
     """Evidence and probability of a text."""
 
@@ -173,7 +177,7 @@ class Scorer:
         found = [self.weights[w] for w in words & self.whole]
         for n, known in self.begins.items():
             found += [known[w] for w in {w[:n] for w in words if len(w) > n} & known.keys()]
-        return sum(sorted(found, reverse=True)[:STRONGEST])
+        return strongest(found)
 
     def score(self, text: str | None) -> float:
         a, b = self.curve
@@ -229,13 +233,16 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     seen = F.pmod(F.xxhash64(key, F.lit(5)), F.lit(10)) < 6
     rows = cut(sample.select(F.col("label").cast("int").alias("label"), text, seen.alias("seen")).mapInArrow(read, "label int, features array<string>, seen boolean"), "toxicity")
     half = _weights(rows.where("seen"))
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [strongest(half[f] for f in x if f in half) for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.float64())], names=["label", "e"])
+
     if half:
-        table = rows.sparkSession.createDataFrame(list(half.items()), "f string, x double")
-        one = rows.where("not seen").select(F.monotonically_increasing_id().alias("row"), "label", F.explode_outer("features").alias("f"))
-        strongest = F.slice(F.reverse(F.array_sort(F.collect_list("x"))), 1, STRONGEST)
-        points = one.join(F.broadcast(table), "f", "left").groupBy("row", "label").agg(F.aggregate(strongest, F.lit(0.0), lambda a, b: a + b).alias("e"))
         # at most SAMPLE rows
-        curve = _logistic([(r["e"], r["label"]) for r in points.collect()])
+        points = rows.where("not seen").select("label", "features").mapInArrow(weigh, "label int, e double").collect()
+        curve = _logistic([(r["e"], r["label"]) for r in points])
     else:
         curve = (0.0, -60.0)
     return Scorer(counts, _weights(rows), curve)
