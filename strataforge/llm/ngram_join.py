@@ -18,7 +18,8 @@ A document is the set of 64-bit hashes of its distinct ``N``-word shingles (all
   bucket, every member is first compared with one member; members that are linked by then, directly or not, need no
   comparison with each other. That member is the one that shares most with others, as the text that the others were
   copied from does. Buckets that still hold several components go through further rounds with other members, and in
-  the last round all remaining pairs of different components are compared.
+  the last round all remaining pairs of different components are compared, but for those whose parity bitmaps differ
+  in more bits than linked sets differ in shingles.
 
 Only components are returned, so links inside a component need not all be found; every component is exact.
 
@@ -44,6 +45,8 @@ BAND = 1.4
 SPARE = 10
 #: Price of comparing two sets, in signatures.
 COMPARE = 40.0
+#: Bits of the bitmap that bounds the difference of two sets from below.
+BITMAP = 512
 MASK = (1 << 64) - 1
 
 
@@ -207,10 +210,22 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _set_batch(rows)
 
 
+def _parity(s: np.ndarray) -> np.ndarray:
+    """BITMAP bits, each the parity of the shingles that hash there, as signed longs.
+
+    Two bitmaps differ in at most as many bits as their sets differ in shingles.
+    """
+    odd = np.bincount((_mix(s) % np.uint64(BITMAP)).astype(np.int64), minlength=BITMAP) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _set_batch(rows: list) -> pa.RecordBatch:
-    offsets = np.concatenate(([0], np.cumsum([len(s) for _, s in rows]))).astype(np.int32)
-    values = np.concatenate([s for _, s in rows]) if rows else np.zeros(0, np.int64)
-    return pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], names=["key", "s"])
+    def lists(parts: list[np.ndarray]) -> pa.Array:
+        offsets = np.concatenate(([0], np.cumsum([len(x) for x in parts]))).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts)))
+
+    sets, bits = [s for _, s in rows], [_parity(s.view(np.uint64)) for _, s in rows]
+    return pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.int64()), lists(sets), lists(bits)], names=["key", "s", "bits"])
 
 
 def _signer(plans: dict[int, tuple[int, bool]]):
@@ -321,9 +336,12 @@ def _resolve(rows: DataFrame, sets: DataFrame) -> DataFrame:
             near = hubs.where("comp <> top.comp").select("key", F.col("top.key").alias("hub"))
             pairs = near.select(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b")).distinct()
         else:
-            left = ends.select("sig", F.col("key").alias("a"), F.col("comp").alias("ac"))
-            right = ends.select("sig", F.col("key").alias("b"), F.col("comp").alias("bc"))
-            pairs = left.join(right, "sig").where("a < b and ac <> bc").select("a", "b").distinct()
+            known = ends.select("sig", "key", "comp").join(sets.select("key", F.size("s").alias("size"), "bits"), "key")
+            side = lambda x: known.select("sig", *[F.col(c).alias(f"{c}_{x}") for c in ("key", "comp", "size", "bits")])
+            differ = sum((F.bit_count(F.get("bits_a", F.lit(i)).bitwiseXOR(F.get("bits_b", F.lit(i)))) for i in range(BITMAP // 64)), F.lit(0))
+            near = differ * (100 + PERCENT) <= (F.col("size_a") + F.col("size_b")) * (100 - PERCENT)
+            both = side("a").join(side("b"), "sig").where("key_a < key_b and comp_a <> comp_b").where(near)
+            pairs = both.select(F.col("key_a").alias("a"), F.col("key_b").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = cut(pairs, "pairs")
@@ -354,7 +372,7 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     wanted = rows.select("key").distinct().join(classes.select("key", "rep"), "key").select(F.col("rep").alias("doc_id"))
     texts = docs.join(wanted, "doc_id", "left_semi")
     known = rows.select("key").distinct()
-    sets = texts.select("text").mapInArrow(_sets, "key bigint, s array<bigint>").join(known, "key", "left_semi").dropDuplicates(["key"])
+    sets = texts.select("text").mapInArrow(_sets, "key bigint, s array<bigint>, bits array<bigint>").join(known, "key", "left_semi").dropDuplicates(["key"])
     links = _resolve(rows, cut(sets, "sets"))
     comps = components(links) if not links.isEmpty() else sized.sparkSession.createDataFrame([], "key bigint, comp bigint")
     # keys are hashes; a component is named by its least document
