@@ -31,9 +31,11 @@ from pyspark.sql import functions as F
 SPACE = "▁"
 RATE, SEED, VARIANTS = 0.1, 1, 2
 #: Chunks of each of the two generations of a worker's memory, and the longest chunk kept there.
-MEMORY, LONGEST = 150_000, 32
+MEMORY, LONGEST = 600_000, 32
 _CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _MASK = (1 << 64) - 1
+#: Chunks of at most so many symbols keep their agenda in a list; and the price of a pair without a piece.
+SHORT, _NEVER = 40, float("inf")
 
 
 class Vocabulary:
@@ -42,6 +44,7 @@ class Vocabulary:
     def __init__(self, pieces: list[str], scores: list[float], kinds: list[str]):
         self.pieces = pieces
         self.rank = {p: (-s, i) for i, (p, s, k) in enumerate(zip(pieces, scores, kinds, strict=True)) if k == "normal"}
+        self.score = {p: x[0] for p, x in self.rank.items()}
         self.byte = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(pieces, kinds, strict=True)) if k == "byte"}
         self.text = [bytes([int(p[3:5], 16)]) if k == "byte" else b"" if k == "control" else p.replace(SPACE, " ").encode() for p, k in zip(pieces, kinds, strict=True)]
 
@@ -66,10 +69,55 @@ class Codec:
         self.older: list[dict] = [{} for _ in range(self.variants)]
 
     def chunk(self, text: str, variant: int = 0) -> tuple[int, ...]:
-        """Ids of one chunk, by the agenda."""
+        """Ids of one chunk, by the agenda. Short chunks, which most are, need no heap to keep it in."""
+        return self._short(text, variant) if len(text) <= SHORT else self._long(text, variant)
+
+    def _state(self, text: str, variant: int) -> int:
+        return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8, key=self.key + bytes([variant])).digest(), "big")
+
+    def _skipped(self, state: int, i: int, mid: int, stop: int) -> bool:
+        x = (state + i * 0x9E3779B97F4A7C15 + mid * 0xC2B2AE3D27D4EB4F + stop * 0x165667B19E3779F9) & _MASK
+        x = ((x ^ (x >> 32)) * 0xBF58476D1CE4E5B9) & _MASK
+        return x ^ (x >> 32) < self.limit
+
+    def _ids(self, symbols: list[str]) -> tuple[int, ...]:
+        out, rank, byte = [], self.v.rank, self.v.byte
+        for x in symbols:
+            piece = rank.get(x)
+            if piece:
+                out.append(piece[1])
+            else:
+                out.extend(byte[b] for b in x.encode("utf-8"))
+        return tuple(out)
+
+    def _short(self, text: str, variant: int) -> tuple[int, ...]:
+        score, symbols, never = self.v.score.get, list(text), _NEVER
+        # the agenda: the price of merging each symbol with the next
+        agenda = [score(a + b, never) for a, b in zip(symbols, symbols[1:], strict=False)]
+        starts = list(range(len(text) + 1))
+        state, limit = (self._state(text, variant), self.limit) if self.rate and agenda else (0, 0)
+        while agenda:
+            best = min(agenda)
+            if best == never:
+                break
+            at = agenda.index(best)
+            if limit:
+                # as in _skipped
+                x = (state + starts[at] * 0x9E3779B97F4A7C15 + starts[at + 1] * 0xC2B2AE3D27D4EB4F + starts[at + 2] * 0x165667B19E3779F9) & _MASK
+                x = ((x ^ (x >> 32)) * 0xBF58476D1CE4E5B9) & _MASK
+                if x ^ (x >> 32) < limit:
+                    agenda[at] = never
+                    continue
+            symbols[at] = merged = symbols[at] + symbols.pop(at + 1)
+            del starts[at + 1], agenda[at]
+            if at < len(agenda):
+                agenda[at] = score(merged + symbols[at + 1], never)
+            if at:
+                agenda[at - 1] = score(symbols[at - 1] + merged, never)
+        return self._ids(symbols)
+
+    def _long(self, text: str, variant: int) -> tuple[int, ...]:
         rank = self.v.rank
-        if not self.rate and text in rank and len(text) == 1:
-            return (rank[text][1],)
         n = len(text)
         end = list(range(1, n + 1))  # of the symbol that starts here
         before = list(range(-1, n - 1))
@@ -80,20 +128,14 @@ class Codec:
             if found:
                 agenda.append((found[0], i, i + 1, i + 2))
         heapq.heapify(agenda)
-        state = 0
-        if self.rate and agenda:
-            state = int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8, key=self.key + bytes([variant])).digest(), "big")
+        state = self._state(text, variant) if self.rate and agenda else 0
         pop, push = heapq.heappop, heapq.heappush
         while agenda:
             _, i, mid, stop = pop(agenda)
             if not alive[i] or end[i] != mid or mid >= n or not alive[mid] or end[mid] != stop:
                 continue
-            if self.rate:
-                x = (state + i * 0x9E3779B97F4A7C15 + mid * 0xC2B2AE3D27D4EB4F + stop * 0x165667B19E3779F9) & _MASK
-                x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & _MASK
-                x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & _MASK
-                if x ^ (x >> 31) < self.limit:
-                    continue
+            if self.rate and self._skipped(state, i, mid, stop):
+                continue
             alive[mid] = False
             end[i] = stop
             if stop < n:
@@ -106,16 +148,11 @@ class Codec:
                 found = rank.get(text[left:stop])
                 if found:
                     push(agenda, (found[0], left, i, stop))
-        out = []
-        i = 0
+        symbols, i = [], 0
         while i < n:
-            piece = rank.get(text[i : end[i]])
-            if piece:
-                out.append(piece[1])
-            else:
-                out.extend(self.v.byte[b] for b in text[i : end[i]].encode("utf-8"))
+            symbols.append(text[i : end[i]])
             i = end[i]
-        return tuple(out)
+        return self._ids(symbols)
 
     def variant_of(self, text: str) -> int:
         if self.variants == 1:
@@ -196,7 +233,7 @@ def round_trip(docs: DataFrame, model_file: str, key: str = "doc_id", text: str
                 ids = codec.encode(t)
                 back = codec.decode(ids) if ids else ""
                 n.append(len(ids))
-                ids_sha.append(hashlib.sha256(np.asarray(ids, "<i4").tobytes()).hexdigest())
+                ids_sha.append(hashlib.sha256(np.array(ids, "<i4").tobytes()).hexdigest())
                 text_sha.append(hashlib.sha256(back.encode()).hexdigest())
                 same.append(back == (t or ""))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sha), pa.array(text_sha), pa.array(same)], names=[key, "n_tokens", "ids_sha256", "decoded_sha256", "lossless"])
