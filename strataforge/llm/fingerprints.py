@@ -6,10 +6,13 @@ r, c ~ Gamma(2, 1) and beta ~ U(0, 1) from its hash, and its weight w gives
     t = floor(ln w / r + beta),    ln a = ln c - r (t - beta + 1).
 
 The smallest a wins, and the sample is (shingle, t): two documents draw the same sample with the probability of
-their generalised Jaccard similarity. A shingle takes part in one of ``BINS`` draws, chosen by its hash, so a text
-costs one draw per distinct shingle instead of ``BINS``. Likeness is the share of equal samples among the bins that
-either document fills; bins that neither fills say nothing. Limit: all filled bins count alike, so the likeness of two
-texts of which a single shingle makes up most (one word repeated throughout) is that of their other shingles.
+their generalised Jaccard similarity. A shingle's weight is dealt out in units: its i-th copy goes to one of ``BINS``
+bins, chosen by a hash of (shingle, i), and in each bin the shingle draws with the units that it has there, so a text
+costs at most one draw per word instead of ``BINS`` per shingle. Likeness is the share of equal samples among the bins
+that either document fills; bins that neither fills say nothing. Units of both documents are nested, so the least of
+two weights is the sum of the least weights in the bins; and as all units are dealt alike, each of the heavier text's
+is as likely to win a filled bin as any other, so the estimate is unbiased whatever the weights (one permutation
+hashing, on units).
 
 Defined results: null and wordless texts have an empty fingerprint, and two empty ones have likeness 1. Texts with
 fewer than five words are one shingle. Equal texts have equal fingerprints.
@@ -36,19 +39,22 @@ def draws(shingles: DataFrame, keys: list[str]) -> DataFrame:
     ``h`` is the shingle's hash and null for a document without words, which keeps a row with a null sample.
     """
     h = F.col("h")
+    unit = F.explode(F.sequence(F.lit(1), F.col("w").cast("int"))).alias("_u")
+    place = F.when(h.isNotNull(), F.xxhash64(h, F.col("_u"), F.lit(19)).bitwiseAND(F.lit(BINS - 1)).cast("int"))
+    units = shingles.select(*keys, "h", unit).select(*keys, "h", place.alias("bin")).groupBy(*keys, "h", "bin").agg(F.count(F.lit(1)).alias("w"))
     drawn = (
-        shingles.withColumns({"g1": F.xxhash64(h, F.lit(11)), "g2": F.xxhash64(h, F.lit(13))})
+        units.withColumns({"g1": F.xxhash64(h, F.col("bin"), F.lit(11)), "g2": F.xxhash64(h, F.col("bin"), F.lit(13))})
         .withColumns(
             {
                 "r": -F.ln(uniform(F.col("g1"), True) * uniform(F.col("g1"), False)),
                 "c": F.ln(-F.ln(uniform(F.col("g2"), True) * uniform(F.col("g2"), False))),
-                "b": uniform(F.shiftrightunsigned(h, 12), True),
+                "b": uniform(F.xxhash64(h, F.col("bin"), F.lit(23)), True),
             }
         )
         .withColumn("k", F.floor(F.ln("w") / F.col("r") + F.col("b")))
         .select(
             *keys,
-            h.bitwiseAND(F.lit(BINS - 1)).cast("int").alias("bin"),
+            "bin",
             F.when(
                 h.isNotNull(),
                 F.shiftleft(((F.col("c") - F.col("r") * (F.col("k") - F.col("b") + 1) + 128) * float(1 << 32)).cast("bigint"), _SAMPLE_BITS)

@@ -77,6 +77,28 @@ def test_weighted_collisions(spark):
     assert abs(np.mean(rate) - np.mean(exact)) < 0.03
 
 
+def test_fingerprints_of_repeated_lines(spark):
+    """Estimates hold where shingles are repeated many times, evenly or not."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for i in range(40):
+        lines = [" ".join(f"l{i}_{j}_{k}" for k in range(6)) for j in range(3)]
+        rest = [f"r{i}_{k}" for k in range(120)]
+        rows.append((2 * i, " ".join([*(lines[0:1] * 40), *rest, *(lines[1:2] * int(rng.integers(1, 40)))])))
+        rows.append((2 * i + 1, " ".join([*(lines[0:1] * int(rng.integers(1, 80))), *rest[:60], *(lines[2:3] * 9)])))
+    rows.append((80, "wort " * 400))
+    rows.append((81, "wort " * 100 + "ende"))
+    got = {r["doc_id"]: r for r in fingerprints.fingerprint_documents(docs(spark, rows)).collect()}
+    text, off = dict(rows), []
+    for i in range(82):
+        own, after = text[i], text[(i + 1) % 82]
+        edit = own[: len(own) - len(own) // 2] + after[: len(own) // 2]
+        for near, other in (("near_edited", edit), ("near_next", after)):
+            a, b = shingles(own), shingles(other)
+            off.append(got[i][near] - sum((a & b).values()) / sum((a | b).values()))
+    assert max(map(abs, off)) < 0.2 and abs(np.mean(off)) < 0.02
+
+
 # ---- 2 ---------------------------------------------------------------------------------------------------------------
 
 
