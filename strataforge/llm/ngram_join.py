@@ -21,7 +21,10 @@ A document is the set of 64-bit hashes of its distinct ``N``-word shingles (all
   the last round all remaining pairs of different components are compared, but for those whose parity bitmaps differ
   in more bits than linked sets differ in shingles.
 
-Only components are returned, so links inside a component need not all be found; every component is exact.
+``link_documents`` returns components only, for which links inside a component need not all be found; every component
+is exact. ``linked_documents`` also counts the links of every document and ``link_pairs`` lists them: a link joins
+members of one component, so all pairs of distinct sets of a component are compared, in blocks of ``BLOCK`` by
+``BLOCK`` members that are dealt out evenly. That work, and the pairs, grow with the square of a component's size.
 
 Defined results: null, empty and wordless texts have no shingles and are alone; equal texts are one class whatever
 their number; null ids are not linked with others; repeated ids are one document each by their text; extra columns
@@ -45,6 +48,8 @@ BAND = 1.4
 SPARE = 10
 #: Price of comparing two sets, in signatures.
 COMPARE = 40.0
+#: Members of a component that one task compares with as many others, and shingles that it counts at a time.
+BLOCK, COLUMNS = 128, 1 << 13
 #: Bits of the bitmap that bounds the difference of two sets from below.
 BITMAP = 512
 MASK = (1 << 64) - 1
@@ -358,12 +363,12 @@ def _resolve(rows: DataFrame, sets: DataFrame) -> DataFrame:
         last = none or n == STAR_ROUNDS
 
 
-def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_shingles, component_id): the set size and the least key reachable by links, one row per input row."""
-    docs = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """(sized, named, sets): rows (doc_id, n, key), classes (key, rep, n, members, comp) of equal sets, and the sets
+    (key, s, bits) that may have links; no sets if no class shares a signature. ``docs`` is (doc_id, text)."""
     sized = cut(docs.mapInArrow(_sizes, "doc_id bigint, n bigint, key bigint"), "sizes")
     # a histogram of bands: at most some dozens of rows
-    classes = sized.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"))
+    classes = sized.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.count("doc_id").alias("members"))
     band = F.floor(F.ln("n") / math.log(BAND) + 1e-9).cast("int")
     counts = {r["band"]: r["c"] for r in classes.groupBy(band.alias("band")).agg(F.count(F.lit(1)).alias("c")).collect()}
     bands = {b for b in counts} | {b - 1 for b in counts if b}
@@ -372,20 +377,115 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     wanted = rows.select("key").distinct().join(classes.select("key", "rep"), "key").select(F.col("rep").alias("doc_id"))
     texts = docs.join(wanted, "doc_id", "left_semi")
     known = rows.select("key").distinct()
-    sets = texts.select("text").mapInArrow(_sets, "key bigint, s array<bigint>, bits array<bigint>").join(known, "key", "left_semi").dropDuplicates(["key"])
-    links = _resolve(rows, cut(sets, "sets"))
-    comps = components(links) if not links.isEmpty() else sized.sparkSession.createDataFrame([], "key bigint, comp bigint")
+    sets = cut(texts.select("text").mapInArrow(_sets, "key bigint, s array<bigint>, bits array<bigint>").join(known, "key", "left_semi").dropDuplicates(["key"]), "sets")
+    links = _resolve(rows, sets)
+    none = links.isEmpty()
+    comps = components(links) if not none else sized.sparkSession.createDataFrame([], "key bigint, comp bigint")
     # keys are hashes; a component is named by its least document
     named = classes.join(comps, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
+    return sized, named, None if none else sets
+
+
+def _named_by_component(sized: DataFrame, named: DataFrame, key: str) -> DataFrame:
     least = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
     of_key = named.select("key", "comp").join(least, "comp").select("key", "component_id")
     own = sized.join(of_key, "key", "left").where("key is not null")
     alone = sized.where("key is null").withColumn("component_id", F.col("doc_id"))
-    return own.select("doc_id", "n", "component_id").union(alone.select("doc_id", "n", "component_id")).select(
-        F.col("doc_id").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")
+    return own.select("doc_id", "n", "component_id", "key").union(alone.select("doc_id", "n", "component_id", "key")).select(
+        F.col("doc_id").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"), F.col("key").alias("_class")
     )
 
 
+def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, n_shingles, component_id): the set size and the least key reachable by links, one row per input row."""
+    sized, named, _ = _classes(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")))
+    return _named_by_component(sized, named, key).drop("_class")
+
+
+def _linked(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Which sets of ``a`` link with which of ``b``, exactly; a matrix of booleans."""
+    sizes_a, sizes_b = np.array([len(x) for x in a]), np.array([len(x) for x in b])
+    flat_a, flat_b = np.concatenate(a), np.concatenate(b)
+    both = np.intersect1d(flat_a, flat_b)
+    common = np.zeros((len(a), len(b)), np.float32)  # exact below 2^24
+
+    def places(flat: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.searchsorted(both, flat)
+        seen = at < len(both)
+        seen[seen] = both[at[seen]] == flat[seen]
+        return np.repeat(np.arange(len(sizes)), sizes)[seen], at[seen]
+
+    (row_a, at_a), (row_b, at_b) = places(flat_a, sizes_a), places(flat_b, sizes_b)
+    for first in range(0, len(both), COLUMNS):
+        part = []
+        for row, at, n in ((row_a, at_a, len(a)), (row_b, at_b, len(b))):
+            here = (at >= first) & (at < first + COLUMNS)
+            m = np.zeros((n, min(COLUMNS, len(both) - first)), np.float32)
+            m[row[here], at[here] - first] = 1
+            part.append(m)
+        common += part[0] @ part[1].T
+    return common.astype(np.int64) * (100 + PERCENT) >= (sizes_a[:, None] + sizes_b[None]) * PERCENT
+
+
+def _compare(table: pa.Table) -> pa.Table:
+    """The links between two blocks of a component: for each member, with which and how many documents."""
+    rows = sorted(zip(*(table.column(c).to_pylist() for c in ("me", "key", "members")), range(table.num_rows), strict=True))
+    s = table.column("s").combine_chunks()
+    values, offsets = s.values.to_numpy(zero_copy_only=False), s.offsets.to_numpy()
+    first, last = table.column("x")[0].as_py(), table.column("y")[0].as_py()
+    side = lambda block: [r for r in rows if r[0] == block]
+    of = lambda part: [values[offsets[i] : offsets[i + 1]] for *_, i in part]
+    a, b = side(first), side(last)
+    found = _linked(of(a), of(b))
+    if first == last:
+        np.fill_diagonal(found, False)
+    out = []
+    for part, others, m in ((a, b, found), (b, a, found.T))[: 1 if first == last else 2]:
+        keys, weights = np.array([x[1] for x in others], np.int64), np.array([x[2] for x in others], np.int64)
+        out += [(x[1], int(weights[hit].sum()), keys[hit].tolist()) for x, hit in zip(part, m, strict=True) if hit.any()]
+    return pa.table([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.list_(pa.int64()))], names=["key", "n_links", "linked"])
+
+
+def _links_of_classes(named: DataFrame, sets: DataFrame) -> DataFrame:
+    """(key, n_links, linked): for each class and block, the linked classes of other sets and how many documents they have."""
+    size = named.groupBy("comp").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    members = named.join(size, "comp").select("comp", "key", "members", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    # any even deal will do; a block is some BLOCK members
+    me = F.pmod(F.xxhash64("key", F.lit(29)), F.col("blocks")).cast("int")
+    dealt = members.withColumn("me", me).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("comp", "key", "members", "me", F.least("me", "other").alias("x"), F.greatest("me", "other").alias("y"))
+    return dealt.join(sets.select("key", "s"), "key").groupBy("comp", "x", "y").applyInArrow(_compare, "key bigint, n_links bigint, linked array<bigint>")
+
+
+def linked_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``link_documents`` with n_links: how many other documents each one links with, equal texts among them.
+
+    Rows of null ids are no documents that others link with, and have 0 links themselves.
+    """
+    sized, named, sets = _classes(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")))
+    found = _named_by_component(sized, named, key)
+    equal = named.select(F.col("key").alias("_class"), (F.col("members") - 1).alias("_equal"))
+    if sets is None:
+        counted = equal.withColumn("_other", F.lit(0))
+    else:
+        other = _links_of_classes(cut(named, "classes"), sets).groupBy(F.col("key").alias("_class")).agg(F.sum("n_links").alias("_other"))
+        counted = equal.join(other, "_class", "left")
+    n = F.when(F.col(key).isNotNull(), F.coalesce("_equal", F.lit(0)) + F.coalesce("_other", F.lit(0))).otherwise(0)
+    return found.join(counted, "_class", "left").select(key, "n_shingles", "component_id", n.cast("bigint").alias("n_links"))
+
+
+def link_pairs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(pairs, members): all links (a, b), a < b, between the least documents of classes of equal sets, and the class
+    (key, class_id) of every document that has shingles. Classes without an id have no links."""
+    sized, named, sets = _classes(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")))
+    members = sized.where("doc_id is not null").join(named.select("key", "rep"), "key").select(F.col("doc_id").alias(key), F.col("rep").alias("class_id"))
+    if sets is None:
+        return sized.sparkSession.createDataFrame([], "a bigint, b bigint"), members
+    linked = _links_of_classes(cut(named, "classes"), sets).select("key", F.explode("linked").alias("with"))
+    rep = lambda c, to: named.select(F.col("key").alias(c), F.col("rep").alias(to))
+    return linked.join(rep("key", "a"), "key").join(rep("with", "b"), "with").where("a < b").select("a", "b"), members
+
+
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that name their component, first in it by id; rows without shingles and null ids stay."""
     found = cut(link_documents(docs, key, text), "components")

@@ -23,7 +23,7 @@ def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.link_documents(_read(spark, sf_dir, "documents"))
+    return ngram_join.linked_documents(_read(spark, sf_dir, "documents"))
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

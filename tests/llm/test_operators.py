@@ -176,6 +176,24 @@ def test_ngram_join_odd_tables(spark):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, (_, c) in brute_components(TEXTS).items() if i == c} and kept.columns == docs(spark).columns
 
 
+def test_all_links(spark, monkeypatch):
+    """Every link between different texts, not only those that hold components together; blocks are crossed."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 16)
+    rows = TEXTS + near_copies(60) + [(500, near_copies(2)[1][1]), (None, "a b")]
+    sets = {i: frozenset(tuple(w[j : j + 4]) for j in range(max(1, len(w) - 3))) for i, t in rows if i is not None and (w := lowered_words(t))}
+    linked = lambda i, j: 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])
+    expected = {i: sum(i != j and linked(i, j) for j in sets) for i in sets}
+    found = ngram_join.linked_documents(docs(spark, rows)).collect()
+    assert len(found) == len(rows) and {r["doc_id"]: r["n_links"] for r in found} == expected | {i: 0 for i, _ in rows if i not in sets}
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found if r["doc_id"]} == brute_components([x for x in rows if x[0]])
+    pairs, members = ngram_join.link_pairs(docs(spark, rows))
+    first = {s: min(i for i in sets if sets[i] == s) for s in sets.values()}
+    assert {r["doc_id"]: r["class_id"] for r in members.collect()} == {i: first[s] for i, s in sets.items()}
+    got = [(r["a"], r["b"]) for r in pairs.collect()]
+    assert sorted(got) == sorted((i, j) for i in first.values() for j in first.values() if i < j and linked(i, j)) and len(got) > 40
+    assert ngram_join.linked_documents(docs(spark).limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("size", [6, 7, 13, 40, 111, 500, 3000])
 def test_plans_hold_the_pigeonhole(size):
     band = ngram_join.band_of(size)
