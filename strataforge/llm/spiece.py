@@ -2,13 +2,15 @@
 
 The vocabulary is read from a model file; it is never trained here. A text becomes symbols (a space is U+2581, one is
 put in front), and an agenda merges the adjacent pair of the best-scored piece, leftmost first. With dropout, a pair
-that comes up on the agenda is skipped for good if a keyed hash of (seed, variant, chunk, where the pair starts and
-ends) falls below the rate; so one seed always gives one segmentation, and other seeds or variants give others. A
-document's variant is a keyed hash of its text. Symbols without a piece become byte pieces, and every segmentation
+that comes up on the agenda is skipped for good if a keyed hash of (seed, text, place of the chunk in the text, where
+the pair starts and ends) falls below the rate; so one seed always gives a text one segmentation, other seeds give
+others, and every occurrence of a word is cut on its own, in one text and in others. Symbols without a piece become byte pieces, and every segmentation
 decodes to the text it came from. Without dropout the result is the model's own.
 
 No piece has U+2581 after another character, so merges never cross the start of a run of them: texts are cut there and
-chunks are looked up in a bounded memory of recent ones.
+chunks are looked up in a bounded memory of recent ones. With dropout that memory holds, for each chunk, the tree of
+decisions met so far (a pair comes up; it is merged or skipped) and the pieces that they end in; the decisions
+themselves are drawn for each occurrence.
 
 Defined results: null and empty texts have no pieces and decode to the empty text. A literal U+2581 in a text is one
 that decoding cannot tell from a space; it is encoded as its bytes, which it can. Repeated rows are separate rows;
@@ -29,9 +31,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPACE = "▁"
-RATE, SEED, VARIANTS = 0.1, 1, 2
+RATE, SEED = 0.1, 1
 #: Chunks of each of the two generations of a worker's memory, and the longest chunk kept there.
 MEMORY, LONGEST = 600_000, 32
+#: Paths of a tree of decisions that is carried into the next generation; larger ones are grown anew.
+LARGEST = 4096
 _CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _MASK = (1 << 64) - 1
 #: Chunks of at most so many symbols keep their agenda in a list; and the price of a pair without a piece.
@@ -61,19 +65,20 @@ class Vocabulary:
 class Codec:
     """Encoder and decoder of one vocabulary, seed and rate."""
 
-    def __init__(self, vocabulary: Vocabulary, rate: float = 0.0, seed: int = SEED, variants: int = VARIANTS):
-        self.v, self.rate, self.variants = vocabulary, rate, variants if rate else 1
+    def __init__(self, vocabulary: Vocabulary, rate: float = 0.0, seed: int = SEED):
+        self.v, self.rate = vocabulary, rate
         self.key = seed.to_bytes(8, "big", signed=True)
         self.limit = int(rate * (1 << 64))
-        self.recent: list[dict] = [{} for _ in range(self.variants)]
-        self.older: list[dict] = [{} for _ in range(self.variants)]
+        self.recent: dict = {}
+        self.older: dict = {}
+        self.paths = 0
 
-    def chunk(self, text: str, variant: int = 0) -> tuple[int, ...]:
+    def chunk(self, text: str, state: int = 0) -> tuple[int, ...]:
         """Ids of one chunk, by the agenda. Short chunks, which most are, need no heap to keep it in."""
-        return self._short(text, variant) if len(text) <= SHORT else self._long(text, variant)
+        return self._short(text, state) if len(text) <= SHORT else self._long(text, state)
 
-    def _state(self, text: str, variant: int) -> int:
-        return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8, key=self.key + bytes([variant])).digest(), "big")
+    def _state(self, text: str) -> int:
+        return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8, key=self.key).digest(), "big")
 
     def _skipped(self, state: int, i: int, mid: int, stop: int) -> bool:
         x = (state + i * 0x9E3779B97F4A7C15 + mid * 0xC2B2AE3D27D4EB4F + stop * 0x165667B19E3779F9) & _MASK
@@ -90,12 +95,13 @@ class Codec:
                 out.extend(byte[b] for b in x.encode("utf-8"))
         return tuple(out)
 
-    def _short(self, text: str, variant: int) -> tuple[int, ...]:
+    def _short(self, text: str, state: int, path: list | None = None) -> tuple[int, ...]:
+        """``path`` receives the decisions: (what the hash adds for the pair, whether it was skipped)."""
         score, symbols, never = self.v.score.get, list(text), _NEVER
         # the agenda: the price of merging each symbol with the next
         agenda = [score(a + b, never) for a, b in zip(symbols, symbols[1:], strict=False)]
         starts = list(range(len(text) + 1))
-        state, limit = (self._state(text, variant), self.limit) if self.rate and agenda else (0, 0)
+        limit = self.limit if self.rate else 0
         while agenda:
             best = min(agenda)
             if best == never:
@@ -103,9 +109,13 @@ class Codec:
             at = agenda.index(best)
             if limit:
                 # as in _skipped
-                x = (state + starts[at] * 0x9E3779B97F4A7C15 + starts[at + 1] * 0xC2B2AE3D27D4EB4F + starts[at + 2] * 0x165667B19E3779F9) & _MASK
+                pair = starts[at] * 0x9E3779B97F4A7C15 + starts[at + 1] * 0xC2B2AE3D27D4EB4F + starts[at + 2] * 0x165667B19E3779F9 & _MASK
+                x = (state + pair) & _MASK
                 x = ((x ^ (x >> 32)) * 0xBF58476D1CE4E5B9) & _MASK
-                if x ^ (x >> 32) < limit:
+                skipped = x ^ (x >> 32) < limit
+                if path is not None:
+                    path.append((pair, skipped))
+                if skipped:
                     agenda[at] = never
                     continue
             symbols[at] = merged = symbols[at] + symbols.pop(at + 1)
@@ -116,7 +126,7 @@ class Codec:
                 agenda[at - 1] = score(symbols[at - 1] + merged, never)
         return self._ids(symbols)
 
-    def _long(self, text: str, variant: int) -> tuple[int, ...]:
+    def _long(self, text: str, state: int) -> tuple[int, ...]:
         rank = self.v.rank
         n = len(text)
         end = list(range(1, n + 1))  # of the symbol that starts here
@@ -128,7 +138,6 @@ class Codec:
             if found:
                 agenda.append((found[0], i, i + 1, i + 2))
         heapq.heapify(agenda)
-        state = self._state(text, variant) if self.rate and agenda else 0
         pop, push = heapq.heappop, heapq.heappush
         while agenda:
             _, i, mid, stop = pop(agenda)
@@ -154,39 +163,81 @@ class Codec:
             i = end[i]
         return self._ids(symbols)
 
-    def variant_of(self, text: str) -> int:
-        if self.variants == 1:
-            return 0
-        return hashlib.blake2b(text.encode(), digest_size=2, key=self.key).digest()[0] % self.variants
-
-    def _run(self, text: str, variant: int, out: list[int]) -> None:
-        recent, older = self.recent[variant], self.older[variant]
-        for c in _CHUNK.findall(text):
-            ids = recent.get(c)
-            if ids is None:
-                ids = older.get(c)
+    def _remember(self, c: str, found) -> None:
+        if self.paths >= MEMORY // (4 if self.rate else 1):
+            self.older, self.recent, self.paths = self.recent, {}, 0
+        self.recent[c] = found
+        self.paths += 1
+
+    def _grown(self, c: str, state: int, root: list) -> tuple[int, ...]:
+        """Ids of a chunk whose decisions were not all met before; they join its tree.
+
+        A node is [pair, after a merge, after a skip]; what follows the last decision are the ids.
+        """
+        path: list[tuple[int, bool]] = []
+        ids = self._short(c, state, path)
+        node, at = root, 1
+        for pair, skipped in path:
+            if node[at] is None:
+                node[at] = [pair, None, None]
+            node, at = node[at], 2 if skipped else 1
+        node[at] = ids
+        return ids
+
+    def _run(self, text: str, doc: int, first: int, out: list[int]) -> None:
+        if not self.rate:
+            for c in _CHUNK.findall(text):
+                ids = self.recent.get(c)
                 if ids is None:
-                    ids = self.chunk(c, variant)
-                if len(c) <= LONGEST:
-                    if len(recent) >= MEMORY // self.variants:
-                        self.older[variant] = older = recent
-                        self.recent[variant] = recent = {}
-                    recent[c] = ids
-            out.extend(ids)
+                    ids = self.older.get(c)
+                    if ids is None:
+                        ids = self.chunk(c)
+                    if len(c) <= LONGEST:
+                        self._remember(c, ids)
+                out.extend(ids)
+            return
+        limit, place = self.limit, first
+        for c in _CHUNK.findall(text):
+            # each occurrence has its own state
+            state = (doc + place * 0x9FB21C651E98DF25) & _MASK
+            state = ((state ^ (state >> 29)) * 0x94D049BB133111EB) & _MASK
+            state ^= state >> 32
+            place += len(c)
+            if len(c) > LONGEST:
+                out.extend(self.chunk(c, state))
+                continue
+            root = self.recent.get(c)
+            if root is None:
+                root = self.older.get(c)
+                if root is None or root[2] > LARGEST:
+                    root = [0, None, 0]  # the tree, and how many paths it has
+                self._remember(c, root)
+                self.paths += root[2]
+            node = root[1]
+            while type(node) is list:
+                x = (state + node[0]) & _MASK
+                x = ((x ^ (x >> 32)) * 0xBF58476D1CE4E5B9) & _MASK
+                node = node[2] if x ^ (x >> 32) < limit else node[1]
+            if node is None:
+                node = self._grown(c, state, root)
+                self.paths += 1
+                root[2] += 1
+            out.extend(node)
 
     def encode(self, text: str | None) -> list[int]:
         if not text:
             return []
-        variant, out = self.variant_of(text), []
+        doc, out = self._state(text) if self.rate else 0, []
         if SPACE not in text:
-            self._run(SPACE + text.replace(" ", SPACE), variant, out)
+            self._run(SPACE + text.replace(" ", SPACE), doc, 0, out)
             return out
-        literal = [self.v.byte[b] for b in SPACE.encode()]
+        literal, first = [self.v.byte[b] for b in SPACE.encode()], 0
         for i, part in enumerate((" " + text).split(SPACE)):
             if i:
                 out.extend(literal)
             if part:
-                self._run(part.replace(" ", SPACE), variant, out)
+                self._run(part.replace(" ", SPACE), doc, first, out)
+            first += len(part) + 1
         return out
 
     def decode(self, ids: list[int]) -> str:
@@ -194,20 +245,20 @@ class Codec:
         return b"".join([text[i] for i in ids]).decode("utf-8", "replace")[1:]
 
 
-def _codec(model_file: str, rate: float, seed: int, variants: int) -> Codec:
+def _codec(model_file: str, rate: float, seed: int) -> Codec:
     """One codec per worker process; it outlives the task."""
     held = sys.modules.setdefault("_worker_codecs", types.ModuleType("_worker_codecs")).__dict__
-    key = (model_file, rate, seed, variants)
+    key = (model_file, rate, seed)
     if held.get("key") != key:
-        held["codec"], held["key"] = Codec(Vocabulary.load(model_file), rate, seed, variants), key
+        held["codec"], held["key"] = Codec(Vocabulary.load(model_file), rate, seed), key
     return held["codec"]
 
 
-def encode_documents(docs: DataFrame, model_file: str, key: str = "doc_id", text: str = "text", rate: float = RATE, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
+def encode_documents(docs: DataFrame, model_file: str, key: str = "doc_id", text: str = "text", rate: float = RATE, seed: int = SEED) -> DataFrame:
     """(key, token_ids): the pieces of every text. ``model_file`` must be at the same place on every executor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(model_file, rate, seed, variants)
+        codec = _codec(model_file, rate, seed)
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             for at in range(0, len(texts), 256):
@@ -217,7 +268,7 @@ def encode_documents(docs: DataFrame, model_file: str, key: str = "doc_id", text
     return docs.select(key, text).mapInArrow(run, f"`{key}` bigint, token_ids array<int>")
 
 
-def round_trip(docs: DataFrame, model_file: str, key: str = "doc_id", text: str = "text", rate: float = RATE, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
+def round_trip(docs: DataFrame, model_file: str, key: str = "doc_id", text: str = "text", rate: float = RATE, seed: int = SEED) -> DataFrame:
     """(key, n_tokens, ids_sha256, decoded_sha256, lossless) of every text: encoded, decoded and compared.
 
     ids_sha256 digests the ids as little-endian 32-bit integers.
@@ -226,7 +277,7 @@ def round_trip(docs: DataFrame, model_file: str, key: str = "doc_id", text: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        codec = _codec(model_file, rate, seed, variants)
+        codec = _codec(model_file, rate, seed)
         for batch in batches:
             n, ids_sha, text_sha, same = [], [], [], []
             for t in batch.column(1).to_pylist():

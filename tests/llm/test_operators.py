@@ -377,6 +377,22 @@ def test_pieces(spark):
     assert {r["doc_id"]: len(r["token_ids"]) for r in spiece.encode_documents(docs(spark), SENTENCEPIECE_MODEL).collect()} == {i: r["n_tokens"] for i, r in rows.items()}
 
 
+@pytest.mark.skipif(not os.path.exists(SENTENCEPIECE_MODEL), reason="no model")
+def test_occurrences_are_cut_on_their_own():
+    vocabulary = spiece.Vocabulary.load(SENTENCEPIECE_MODEL)
+    codec, kept = spiece.Codec(vocabulary, 0.1, 7), spiece.Codec(vocabulary, 0.1, 7)
+    word = "international"
+    cuts = lambda ids: Counter("|".join(vocabulary.pieces[i] for i in ids).split("|" + spiece.SPACE))
+    assert len(cuts(codec.encode(" ".join([word] * 500)))) > 5
+    first = {tuple(codec.encode(f"{word} {i}"))[:3] for i in range(200)}
+    assert len(first) > 3
+    # what the memory holds changes no cut
+    for i in range(300):
+        t = f"{i} the {word} quick fox {word} " * 3
+        assert codec.encode(t) == kept.encode(t) == spiece.Codec(vocabulary, 0.1, 7).encode(t) and codec.decode(codec.encode(t)) == t
+        kept.recent, kept.older = {}, {}
+
+
 # ---- 9 ---------------------------------------------------------------------------------------------------------------
 
 
