@@ -357,7 +357,7 @@ def test_min_cost_flow():
 
 
 @pytest.mark.skipif(not os.path.exists(SENTENCEPIECE_MODEL), reason="no model")
-def test_pieces(spark):
+def test_pieces(spark, monkeypatch):
     import sentencepiece
 
     vocabulary = spiece.Vocabulary.load(SENTENCEPIECE_MODEL)
@@ -367,11 +367,18 @@ def test_pieces(spark):
     for t in texts:
         assert exact.encode(t) == library.encode(t)
         assert a.decode(a.encode(t)) == t and a.encode(t) == spiece.Codec(vocabulary, 0.1, 7).encode(t)
-        for c in spiece._CHUNK.findall(spiece.SPACE + t.replace(" ", spiece.SPACE))[:200]:
-            assert a._short(c, 0) == a._long(c, 0)
     assert a.encode(texts[-1]) != b.encode(texts[-1])
-    for t in ("a▁b", "▁", "▁▁ x ▁"):
-        assert a.decode(a.encode(t)) == t
+    # many texts together come out as one by one, whatever the sizes of the arrays
+    texts += [None, "a▁b", "▁", "▁▁ x ▁", " ", "a ", "\U0010ffff 𐍈x ñ", "z" * 39 + " " + "z" * 41, LONG]
+    for codec in (exact, a, spiece.Codec(vocabulary, 0.5, 7), spiece.Codec(vocabulary, 1.0, 7)):
+        for together in (3, spiece.TOGETHER):
+            monkeypatch.setattr(spiece, "TOGETHER", together)
+            offsets, ids = codec.encode_all(texts)
+            assert codec.decode_all(offsets, ids) == [t or "" for t in texts]
+            for t, first, last in zip(texts, offsets, offsets[1:], strict=False):
+                one = codec.encode(t)
+                assert ids[first:last].tolist() == one and (codec.decode(one) if one else "") == (t or "")
+    assert [len(x) for x in exact.encode_all([])] == [1, 0]
     rows = {r["doc_id"]: r for r in spiece.round_trip(docs(spark), SENTENCEPIECE_MODEL).collect()}
     assert len(rows) == len(TEXTS) and all(r["lossless"] for r in rows.values()) and rows[3]["n_tokens"] == 0
     assert {r["doc_id"]: len(r["token_ids"]) for r in spiece.encode_documents(docs(spark), SENTENCEPIECE_MODEL).collect()} == {i: r["n_tokens"] for i, r in rows.items()}
@@ -380,17 +387,25 @@ def test_pieces(spark):
 @pytest.mark.skipif(not os.path.exists(SENTENCEPIECE_MODEL), reason="no model")
 def test_occurrences_are_cut_on_their_own():
     vocabulary = spiece.Vocabulary.load(SENTENCEPIECE_MODEL)
-    codec, kept = spiece.Codec(vocabulary, 0.1, 7), spiece.Codec(vocabulary, 0.1, 7)
+    codec = spiece.Codec(vocabulary, 0.1, 7)
     word = "international"
     cuts = lambda ids: Counter("|".join(vocabulary.pieces[i] for i in ids).split("|" + spiece.SPACE))
-    assert len(cuts(codec.encode(" ".join([word] * 500)))) > 5
-    first = {tuple(codec.encode(f"{word} {i}"))[:3] for i in range(200)}
-    assert len(first) > 3
-    # what the memory holds changes no cut
-    for i in range(300):
-        t = f"{i} the {word} quick fox {word} " * 3
-        assert codec.encode(t) == kept.encode(t) == spiece.Codec(vocabulary, 0.1, 7).encode(t) and codec.decode(codec.encode(t)) == t
-        kept.recent, kept.older = {}, {}
+    assert len(cuts(codec.encode_all([" ".join([word] * 500)])[1])) > 5
+    texts = [f"{word} {i}" for i in range(200)]
+    offsets, ids = codec.encode_all(texts)
+    assert len({tuple(ids[a : a + 3]) for a in offsets[:-1]}) > 3
+    # what else is in the batch changes no cut
+    alone = [codec.encode_all([t])[1].tolist() for t in texts]
+    assert alone == [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:], strict=False)]
+
+
+@pytest.mark.skipif(not os.path.exists(SENTENCEPIECE_MODEL), reason="no model")
+def test_pieces_of_odd_tables(spark):
+    rows = [(1, "same text"), (1, "same text"), (None, "same text"), (2, None), (3, ""), (4, "q" * 50_000 + " end")]
+    got = spiece.round_trip(docs(spark, rows), SENTENCEPIECE_MODEL).collect()
+    assert sorted((r["doc_id"] or 0, r["n_tokens"] > 0) for r in got) == [(0, True), (1, True), (1, True), (2, False), (3, False), (4, True)]
+    assert all(r["lossless"] for r in got) and len({r["ids_sha256"] for r in got if r["doc_id"] in (None, 1)}) == 1
+    assert spiece.round_trip(docs(spark, []), SENTENCEPIECE_MODEL).collect() == []
 
 
 # ---- 9 ---------------------------------------------------------------------------------------------------------------
