@@ -12,23 +12,24 @@ A document is the set of 64-bit hashes of its distinct ``N``-word shingles (all
   and for each of its one-deletion neighbours; if every segment differed in two or more, the sets would differ in more
   than H). The first plan takes ``SPARE`` segments more than H + 1, and every set leaves out its most frequent signatures,
   ``SPARE`` or, by its own size, more, but fewer than the equal segments that a link guarantees: the least frequent of
-  these is left out by neither set, whose ranking is the same for both. So signatures that many sets share, such as empty segments or parts of common passages, cost
-  nothing, and no link is lost.
-* **Verification.** Sets that share a signature are compared exactly. Equal sets are one class from the start. In a
-  bucket, every member is first compared with one member; members that are linked by then, directly or not, need no
-  comparison with each other. That member is the one that shares most with others, as the text that the others were
-  copied from does. Buckets that still hold several components go through further rounds with other members, and in
-  the last round all remaining pairs of different components are compared, but for those whose parity bitmaps differ
-  in more bits than linked sets differ in shingles.
+  these is left out by neither set, whose ranking is the same for both. So signatures that many sets share, such as
+  empty segments or parts of common passages, cost nothing, and no link is lost.
+* **Verification.** Sets that share a signature are compared exactly. Equal sets are one class from the start, and
+  buckets of the same members are one bucket. In a bucket, every member is first compared with one member, the one that
+  shares most with others, as the text that the others were copied from does; members that are linked by then, directly
+  or not, need no comparison with each other. In buckets that still hold several components, all remaining pairs of
+  different components are compared, but for those whose parity bitmaps differ in more bits than linked sets differ in
+  shingles.
 
 ``link_documents`` returns components only, for which links inside a component need not all be found; every component
 is exact. ``linked_documents`` also counts the links of every document and ``link_pairs`` lists them: a link joins
-members of one component, so all pairs of distinct sets of a component are compared, in blocks of ``BLOCK`` by
-``BLOCK`` members that are dealt out evenly. That work, and the pairs, grow with the square of a component's size.
+members of one component, so all pairs of distinct sets of a component are compared, in blocks of at most ``BLOCK``
+members and some ``BLOCK_SHINGLES`` shingles that are dealt out evenly. That work grows with the square of a
+component's number of distinct sets, as its links do.
 
 Defined results: null, empty and wordless texts have no shingles and are alone; equal texts are one class whatever
-their number; null ids are not linked with others; repeated ids are one document each by their text; extra columns
-are ignored.
+their number; null ids are not linked with others; repeated ids are one document each by their text; an empty table
+gives an empty one; extra columns are ignored. Shingles and sets are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -41,15 +42,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import cut
+from .shared import cut, trimmed
 
 N, PERCENT = 4, 85
 BAND = 1.4
 SPARE = 10
 #: Price of comparing two sets, in signatures.
 COMPARE = 40.0
-#: Members of a component that one task compares with as many others, and shingles that it counts at a time.
-BLOCK, COLUMNS = 128, 1 << 13
+#: Members of a component, and their shingles, that are compared with as many others at a time; shingles counted together.
+BLOCK, BLOCK_SHINGLES, COLUMNS = 512, 1 << 19, 1 << 12
 #: Bits of the bitmap that bounds the difference of two sets from below.
 BITMAP = 512
 MASK = (1 << 64) - 1
@@ -199,7 +200,7 @@ def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s in in_batches(batch.column("text")):
             n.append(len(s))
             key.append(_set_key(s) if len(s) else None)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(key, pa.int64())], names=["doc_id", "n", "key"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), pa.array(n, pa.int64()), pa.array(key, pa.int64())], names=["doc_id", "digest", "n", "key"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,7 +273,7 @@ def _candidates(docs: DataFrame, plans: dict[int, tuple[int, bool]], classes: Da
     A set of n shingles differs from linked ones of its own band in at most differences(n) segments, so it may leave
     out all but one of the rest; under the scheme of the band below it may leave out ``SPARE``.
     """
-    rows = docs.mapInArrow(_signer(plans), "sig bigint, key bigint")
+    rows = docs.mapInArrow(trimmed(_signer(plans)), "sig bigint, key bigint")
     bucket = Window.partitionBy("sig")
     ends = rows.withColumns({"a": F.min("key").over(bucket), "b": F.max("key").over(bucket)})
     shared = ends.where("a <> b").select("sig", "key").distinct().withColumn("n", F.count(F.lit(1)).over(bucket))
@@ -290,6 +291,14 @@ def _candidates(docs: DataFrame, plans: dict[int, tuple[int, bool]], classes: Da
     return ranked.where(F.col("rank") > spare).select("sig", "key", "weight")
 
 
+def _distinct_buckets(rows: DataFrame) -> DataFrame:
+    """``rows`` without buckets of one member, and with one bucket of those that have the same members."""
+    members = [F.bit_xor(F.xxhash64("key", F.lit(seed))).alias(f"m{seed}") for seed in (31, 37)]
+    of_sig = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("c"), *members).where("c > 1")
+    first = of_sig.groupBy("c", "m31", "m37").agg(F.min("sig").alias("sig")).select("sig")
+    return rows.join(first, "sig", "left_semi")
+
+
 def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) of keys whose sets link."""
     left = pairs.join(sets.select(F.col("key").alias("a"), F.col("s").alias("sa")), "a")
@@ -297,17 +306,18 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     small, large = F.least(F.size("sa"), F.size("sb")), F.greatest(F.size("sa"), F.size("sb"))
     both = both.where(small * 100 >= large * PERCENT)
     common = F.size(F.array_intersect("sa", "sb"))
-    return both.where(common * (100 + PERCENT) >= (F.size("sa") + F.size("sb")) * PERCENT).select("a", "b")
+    return both.where(common * (100 + PERCENT) >= (F.size("sa") + F.size("sb")) * PERCENT).drop("sa", "sb")
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(key, comp): the least key that each end of the edges (a, b) reaches. Label spreading with pointer jumping.
 
-    Every round is a table in the shared folder; only a count of changes comes to the driver.
+    Every round is a table in the shared folder; only whether labels changed comes to the driver. Labels only fall, so
+    the rounds end.
     """
-    both = cut(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
+    both = cut(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     labels = cut(both.groupBy(F.col("a").alias("key")).agg(F.least(F.min("b"), F.first("a")).alias("comp")), "labels")
-    for _ in range(max_rounds):
+    while True:
         near = both.join(labels.select(F.col("key").alias("b"), "comp"), "b").groupBy(F.col("a").alias("key")).agg(F.min("comp").alias("m"))
         spread = labels.join(near, "key").select("key", "comp", F.least("comp", "m").alias("m"))
         jump = spread.join(labels.select(F.col("key").alias("m"), F.col("comp").alias("j")), "m").select("key", F.least("m", "j").alias("comp"), (F.least("m", "j") < F.col("comp")).alias("changed"))
@@ -315,81 +325,68 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         labels = done.select("key", "comp")
         if done.where("changed").isEmpty():
             return labels
-    raise RuntimeError("components did not settle")
-
-
-#: At most so many rounds in which buckets are compared with one member, before all remaining pairs are.
-STAR_ROUNDS = 4
 
 
-def _resolve(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """The links (a, b) that hold every component together. rows: (sig, key, weight)."""
+def _joined(rows: DataFrame, sets: DataFrame) -> DataFrame | None:
+    """(key, comp): the components of the links between sets that share a bucket; none if there is no link. rows: (sig, key, weight)."""
     bucket = Window.partitionBy("sig")
-    me = F.struct("weight", "key", "comp")
-    open_rows, links, tried = rows.withColumn("comp", F.col("key")), None, None
-    n, last = 0, False
-    while True:
-        # buckets of one component need nothing more
-        ends = open_rows.withColumns({"x": F.min("comp").over(bucket), "y": F.max("comp").over(bucket)}).where("x <> y").drop("x", "y")
-        if not last:
-            # the heaviest member, and from the second round on the heaviest outside its component
-            top = F.max(me).over(bucket)
-            hubs = ends.withColumn("top", top)
-            if n:
-                other = F.max(F.when(F.col("comp") != F.col("top.comp"), me)).over(bucket)
-                hubs = hubs.withColumn("top", F.coalesce(other, F.col("top")))
-            near = hubs.where("comp <> top.comp").select("key", F.col("top.key").alias("hub"))
-            pairs = near.select(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b")).distinct()
-        else:
-            known = ends.select("sig", "key", "comp").join(sets.select("key", F.size("s").alias("size"), "bits"), "key")
-            side = lambda x: known.select("sig", *[F.col(c).alias(f"{c}_{x}") for c in ("key", "comp", "size", "bits")])
-            differ = sum((F.bit_count(F.get("bits_a", F.lit(i)).bitwiseXOR(F.get("bits_b", F.lit(i)))) for i in range(BITMAP // 64)), F.lit(0))
-            near = differ * (100 + PERCENT) <= (F.col("size_a") + F.col("size_b")) * (100 - PERCENT)
-            both = side("a").join(side("b"), "sig").where("key_a < key_b and comp_a <> comp_b").where(near)
-            pairs = both.select(F.col("key_a").alias("a"), F.col("key_b").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = cut(pairs, "pairs")
-        found = cut(_verify(pairs, sets), "links")
-        none = found.isEmpty()
-        links = found if links is None else links if none else cut(links.union(found), "links")
-        if last:
-            return links
-        tried = pairs if tried is None else tried.union(pairs)
-        if not none:
-            comps = components(links).withColumnRenamed("comp", "c2")
-            open_rows = cut(rows.join(comps, "key", "left").withColumn("comp", F.coalesce("c2", "key")).drop("c2"), "open")
-        n += 1
-        last = none or n == STAR_ROUNDS
-
-
-def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame | None]:
-    """(sized, named, sets): rows (doc_id, n, key), classes (key, rep, n, members, comp) of equal sets, and the sets
-    (key, s, bits) that may have links; no sets if no class shares a signature. ``docs`` is (doc_id, text)."""
-    sized = cut(docs.mapInArrow(_sizes, "doc_id bigint, n bigint, key bigint"), "sizes")
+    top = F.max(F.struct("weight", "key")).over(bucket)["key"]
+    near = rows.withColumn("hub", top).where("key <> hub")
+    pairs = near.select(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b")).distinct()
+    links = cut(_verify(pairs, sets), "links")
+    comps = None if links.isEmpty() else components(links)
+    # buckets of one component need nothing more
+    marked = rows.select("sig", "key")
+    marked = marked.withColumn("comp", F.col("key")) if comps is None else marked.join(comps, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
+    several = marked.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("sig")
+    known = marked.join(several, "sig", "left_semi").join(sets.select("key", F.size("s").alias("size"), "bits"), "key")
+    known = cut(known.select("sig", "key", "comp", "size", "bits"), "open")
+    side = lambda x: known.select("sig", *[F.col(c).alias(f"{c}_{x}") for c in ("key", "comp", "size", "bits")])
+    differ = sum((F.bit_count(F.get("bits_a", F.lit(i)).bitwiseXOR(F.get("bits_b", F.lit(i)))) for i in range(BITMAP // 64)), F.lit(0))
+    like = differ * (100 + PERCENT) <= (F.col("size_a") + F.col("size_b")) * (100 - PERCENT)
+    rest = side("a").join(side("b"), "sig").where("key_a < key_b and comp_a <> comp_b").where(like)
+    rest = rest.select(F.col("key_a").alias("a"), F.col("key_b").alias("b"), F.col("comp_a").alias("ca"), F.col("comp_b").alias("cb")).distinct()
+    more = _verify(rest, sets).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+    more = cut(more.distinct(), "more")
+    if more.isEmpty():
+        return comps
+    # links between components join them
+    over = components(more).select(F.col("key").alias("comp"), F.col("comp").alias("top"))
+    if comps is None:
+        return over.select(F.col("comp").alias("key"), F.col("top").alias("comp"))
+    # a set without a link before is in no component yet
+    old = comps.join(over, "comp", "left").select("key", F.coalesce("top", "comp").alias("comp"))
+    return old.union(over.join(comps.select(F.col("key").alias("comp")), "comp", "left_anti").select(F.col("comp").alias("key"), F.col("top").alias("comp")))
+
+
+def _classes(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """(sized, named, sets): rows (doc_id, digest, n, key), classes (key, rep, n, members, comp) of equal sets, and the
+    sets (key, s, bits) that may have links; no sets if there is no link."""
+    docs = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    sized = cut(docs.withColumn("digest", F.xxhash64("text")).mapInArrow(trimmed(_sizes), "doc_id bigint, digest bigint, n bigint, key bigint"), "sizes")
     # a histogram of bands: at most some dozens of rows
     classes = sized.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.count("doc_id").alias("members"))
     band = F.floor(F.ln("n") / math.log(BAND) + 1e-9).cast("int")
     counts = {r["band"]: r["c"] for r in classes.groupBy(band.alias("band")).agg(F.count(F.lit(1)).alias("c")).collect()}
     bands = {b for b in counts} | {b - 1 for b in counts if b}
     plans = {b: plan(b, counts.get(b, 0) + counts.get(b + 1, 0)) for b in bands if differences(band_top(b))}
-    rows = cut(_candidates(docs, plans, classes), "candidates")
-    wanted = rows.select("key").distinct().join(classes.select("key", "rep"), "key").select(F.col("rep").alias("doc_id"))
-    texts = docs.join(wanted, "doc_id", "left_semi")
-    known = rows.select("key").distinct()
-    sets = cut(texts.select("text").mapInArrow(_sets, "key bigint, s array<bigint>, bits array<bigint>").join(known, "key", "left_semi").dropDuplicates(["key"]), "sets")
-    links = _resolve(rows, sets)
-    none = links.isEmpty()
-    comps = components(links) if not none else sized.sparkSession.createDataFrame([], "key bigint, comp bigint")
+    rows = cut(_distinct_buckets(cut(_candidates(docs, plans, classes), "candidates")), "buckets")
+    known = cut(rows.select("key").distinct().join(classes.select("key", "rep"), "key"), "wanted")
+    texts = docs.join(known.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    found = texts.select("text").mapInArrow(trimmed(_sets), "key bigint, s array<bigint>, bits array<bigint>")
+    sets = cut(found.join(known, "key", "left_semi").dropDuplicates(["key"]), "sets")
+    comps = _joined(rows, sets)
+    if comps is None:
+        return sized, classes.withColumn("comp", F.col("key")), None
     # keys are hashes; a component is named by its least document
     named = classes.join(comps, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
-    return sized, named, None if none else sets
+    return sized, cut(named, "classes"), sets
 
 
 def _named_by_component(sized: DataFrame, named: DataFrame, key: str) -> DataFrame:
     least = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
     of_key = named.select("key", "comp").join(least, "comp").select("key", "component_id")
-    own = sized.join(of_key, "key", "left").where("key is not null")
+    own = sized.join(of_key, "key")
     alone = sized.where("key is null").withColumn("component_id", F.col("doc_id"))
     return own.select("doc_id", "n", "component_id", "key").union(alone.select("doc_id", "n", "component_id", "key")).select(
         F.col("doc_id").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"), F.col("key").alias("_class")
@@ -398,7 +395,7 @@ def _named_by_component(sized: DataFrame, named: DataFrame, key: str) -> DataFra
 
 def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_shingles, component_id): the set size and the least key reachable by links, one row per input row."""
-    sized, named, _ = _classes(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")))
+    sized, named, _ = _classes(docs, key, text)
     return _named_by_component(sized, named, key).drop("_class")
 
 
@@ -448,9 +445,10 @@ def _compare(table: pa.Table) -> pa.Table:
 
 def _links_of_classes(named: DataFrame, sets: DataFrame) -> DataFrame:
     """(key, n_links, linked): for each class and block, the linked classes of other sets and how many documents they have."""
-    size = named.groupBy("comp").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = named.join(size, "comp").select("comp", "key", "members", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    # any even deal will do; a block is some BLOCK members
+    size = named.groupBy("comp").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles")).where("size > 1")
+    blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    members = named.join(size, "comp").select("comp", "key", "members", F.least(blocks, F.col("size")).cast("int").alias("blocks"))
+    # any even deal will do
     me = F.pmod(F.xxhash64("key", F.lit(29)), F.col("blocks")).cast("int")
     dealt = members.withColumn("me", me).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("comp", "key", "members", "me", F.least("me", "other").alias("x"), F.greatest("me", "other").alias("y"))
@@ -462,13 +460,13 @@ def linked_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -
 
     Rows of null ids are no documents that others link with, and have 0 links themselves.
     """
-    sized, named, sets = _classes(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")))
+    sized, named, sets = _classes(docs, key, text)
     found = _named_by_component(sized, named, key)
     equal = named.select(F.col("key").alias("_class"), (F.col("members") - 1).alias("_equal"))
     if sets is None:
         counted = equal.withColumn("_other", F.lit(0))
     else:
-        other = _links_of_classes(cut(named, "classes"), sets).groupBy(F.col("key").alias("_class")).agg(F.sum("n_links").alias("_other"))
+        other = _links_of_classes(named, sets).groupBy(F.col("key").alias("_class")).agg(F.sum("n_links").alias("_other"))
         counted = equal.join(other, "_class", "left")
     n = F.when(F.col(key).isNotNull(), F.coalesce("_equal", F.lit(0)) + F.coalesce("_other", F.lit(0))).otherwise(0)
     return found.join(counted, "_class", "left").select(key, "n_shingles", "component_id", n.cast("bigint").alias("n_links"))
@@ -477,17 +475,31 @@ def linked_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -
 def link_pairs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(pairs, members): all links (a, b), a < b, between the least documents of classes of equal sets, and the class
     (key, class_id) of every document that has shingles. Classes without an id have no links."""
-    sized, named, sets = _classes(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")))
+    sized, named, sets = _classes(docs, key, text)
     members = sized.where("doc_id is not null").join(named.select("key", "rep"), "key").select(F.col("doc_id").alias(key), F.col("rep").alias("class_id"))
     if sets is None:
         return sized.sparkSession.createDataFrame([], "a bigint, b bigint"), members
-    linked = _links_of_classes(cut(named, "classes"), sets).select("key", F.explode("linked").alias("with"))
+    linked = _links_of_classes(named, sets).select("key", F.explode("linked").alias("with"))
     rep = lambda c, to: named.select(F.col("key").alias(c), F.col("rep").alias(to))
     return linked.join(rep("key", "a"), "key").join(rep("with", "b"), "with").where("a < b").select("a", "b"), members
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that name their component, first in it by id; rows without shingles and null ids stay."""
-    found = cut(link_documents(docs, key, text), "components")
-    extra = found.where(F.col(key) != F.col("component_id")).select(key).distinct()
-    return docs.join(extra, key, "left_anti").select(*docs.columns)
+    """One row of ``docs`` for each component: of the least id, and among rows of one id of the least digest of the text.
+
+    Rows without shingles and rows of null ids stay. Rows are told apart by id and text, so a repeated id loses no
+    other text; rows that are equal in both are one.
+    """
+    sized, named, _ = _classes(docs, key, text)
+    rows = sized.where("doc_id is not null").join(named.select("key", "comp"), "key")
+    first = rows.groupBy("comp").agg(F.min(F.struct("doc_id", "digest")).alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1").select("comp", "first")
+    many = cut(rows.join(first, "comp").select("doc_id", "digest", (F.struct("doc_id", "digest") == F.col("first")).alias("is_first")), "members")
+    same = lambda of, rows: (of[key].cast("bigint") == rows["id_"]) & (F.xxhash64(of[text]) == rows["digest_"])
+    named_apart = [F.col("doc_id").alias("id_"), F.col("digest").alias("digest_")]
+    extra = many.where("not is_first").select(*named_apart).distinct()
+    kept = docs.join(extra, same(docs, extra), "left_anti")
+    twice = cut(many.where("is_first").groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(*named_apart), "twice")
+    if twice.isEmpty():
+        return kept
+    again = kept.join(twice, same(kept, twice), "left_semi").dropDuplicates([key, text])
+    return kept.join(twice, same(kept, twice), "left_anti").unionByName(again)

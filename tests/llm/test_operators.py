@@ -203,6 +203,16 @@ def test_plans_hold_the_pigeonhole(size):
     assert 2 * segments > h if wide else segments >= h + 1 + (ngram_join.SPARE if h else 0)
 
 
+def test_one_of_each_by_row(spark):
+    near = " ".join(WORDS)
+    rows = [(1, near), (5, near), (5, "an unrelated text of six words"), (5, "an unrelated text of six words"), (None, near), (7, None), (7, None), (8, near + " tail"), (9, "")]
+    kept = ngram_join.one_of_each(docs(spark, rows))
+    assert kept.columns == docs(spark).columns
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    assert got == sorted([(1, near), (5, "an unrelated text of six words"), (None, near), (7, None), (7, None), (9, "")], key=str)
+    assert ngram_join.one_of_each(docs(spark, [])).collect() == []
+
+
 # ---- 4 ---------------------------------------------------------------------------------------------------------------
 
 
