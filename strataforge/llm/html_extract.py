@@ -6,8 +6,9 @@ body's LCb and Cb, its density is
     C / T * log(C * T / (LC * LT)) / log(ln(C / nLC * LC + LCb / Cb * C + e)),    nLC = C - LC
 
 (zero counts are taken as 1), and its density sum adds its children's densities. The node of the greatest density sum
-sets the threshold: the least density on its path to the body. Among the nodes that reach the threshold the one of the
-greatest sum is the article, and all of its text is kept. Inline elements count as tags and links of the block around
+sets the threshold: the least density on its path to the body. Of nodes of equal sums the first in the page wins. That
+node is the article, and all of its text is kept but for lists of links in it that stay below the threshold (two links
+at least, which are most of the text). Inline elements count as tags and links of the block around
 them but are no candidates and add no density of their own: one bold line would otherwise outweigh its article. Nodes that HTML itself marks as something else (nav, header, footer, aside, form,
 script ...) or whose class, id or role names say so (menu, sidebar, advert, comment, cookie notice ...) are left out
 before counting.
@@ -28,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import trimmed
+
 # fixed values: names of HTML elements and of page furniture
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe noembed noframes xmp".split())
@@ -50,6 +53,8 @@ _NAMED = re.compile(
     r"recommended|related|respond|replies|share|sharing|sidebar|sidenav|social|sponsor|sponsored|subscribe|signup|login|toolbar|widget|widgets|alert|paywall|disclaimer|skip|toc)(?=$|[\s_-]|[0-9])",
     re.I,
 )
+#: Names of a block that has something beside it, and is not that thing itself.
+_BESIDE = re.compile(r"(?:^|[_-])(?:has|with|without|no|hide|show)[_-]", re.I)
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 
 _TOKEN = re.compile(r"<!--(?:(?!-->)[\s\S])*+(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)")
@@ -72,7 +77,7 @@ def _furniture(tag: str, attributes: str) -> bool:
         return False
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), a or b or c
-        if name in ("class", "id") and _NAMED.search(value):
+        if name in ("class", "id") and any(_NAMED.search(x) and not _BESIDE.search(x) for x in value.split()):
             return True
         if name == "role" and value.lower() in _ROLES:
             return True
@@ -206,9 +211,11 @@ def article(root: Node) -> Node:
     while at is not body:
         at = at.parent
         threshold = min(threshold, at.density)
-    kept = [x for x in nodes if x.density >= threshold]
-    best = max(kept or [body], key=lambda x: x.total)
-    return best if best.total > 0 else body
+    best = peak if peak.total > 0 else body
+    for x in _in_order(best):
+        if x is not best and x.tag in BLOCK and x.density < threshold and x.link_tags >= 2 and 2 * x.link_chars > x.chars:
+            x.skip = True
+    return best
 
 
 def text_of(node: Node) -> str:
@@ -246,10 +253,10 @@ def extract_pages(pages: DataFrame, key: str = "page_id", html: str = "html", ur
     """(key, url, text, n_chars) of every page."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(at, 256) for whole in batches for at in range(0, whole.num_rows, 256)):
             texts = [extract(x) for x in batch.column(html).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(key), batch.column(url), pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())], names=[key, url, "text", "n_chars"]
             )
 
-    return pages.select(F.col(key), F.col(url), F.col(html)).mapInArrow(run, f"`{key}` bigint, `{url}` string, text string, n_chars bigint")
+    return pages.select(F.col(key), F.col(url), F.col(html)).mapInArrow(trimmed(run), f"`{key}` bigint, `{url}` string, text string, n_chars bigint")
