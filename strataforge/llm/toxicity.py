@@ -2,18 +2,20 @@
 
 * **Language model.** Letter trigrams are counted over every text (28 classes: the letters a-z, other letters, and
   everything else as a boundary), so the table the driver receives has 28^3 rows whatever the corpus.
-* **Deobfuscation.** Spans that look like disguised words (symbols or digits inside words, spaced letters, letters
-  repeated three times or more) become lattices: a symbol may stand for letters, a separator for nothing, a run for one
-  or two letters, each at a price. A Viterbi search keeps the best ``BEST`` readings under the trigram model.
+* **Deobfuscation.** Spans that look like disguised words (symbols, digits, separators or look-alikes of other scripts
+  inside words, spaced letters, letters repeated three times or more) become lattices, whatever their length: a symbol
+  may stand for letters, a separator for nothing or the end of a word, a run for one or two letters, each at a price. A
+  Viterbi search keeps the best ``BEST`` readings under the trigram model, which are split into words.
 * **Score.** Features are the distinct words of the text and of its readings and their beginnings of 4, 5 and 6
   letters. Labelled rows give each feature a log ratio of its rates in toxic and other documents; a document's evidence
   is the sum of its two strongest features, and a logistic curve fitted on rows that the ratios haven't seen turns it
   into a probability.
 
 Labels are learned from rows with crc32(id) mod 4 != 2 only, at most ``SAMPLE`` of them, chosen by a hash of the id;
-the lexicon has at most ``LEXICON`` features. Labels, language, source and id are no input of a score. Defined results:
-null and empty texts have no evidence and the score of that; without labels every score is 0; null ids are not held
-out; repeated rows are scored each; extra columns are ignored.
+of a repeated id, one row, of the least digest of its text. The lexicon holds every feature of that sample that is
+frequent and telling enough. Labels, language, source and id are no input of a score. Defined results: null and empty
+texts have no evidence and the score of that; without labels every score is 0; an empty table gives an empty one; null
+ids are not held out; repeated rows are scored each and alike; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,9 +29,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import cut
+from .shared import cut, trimmed
 
-SAMPLE, LEXICON = 20_000, 20_000
+#: Labelled rows at most that the lexicon and the curve are fitted on.
+SAMPLE = 20_000
 LEAST_COUNT, LEAST_RATIO, STRONGEST, CUT = 5, 3.0, 2, 0.3
 CLASSES, BEST = 28, 3
 PREFIXES = (4, 5, 6)
@@ -41,14 +44,25 @@ STANDS_FOR = {
     "!": (("i", 1.0), ("l", 1.5)), "|": (("l", 1.0), ("i", 1.0)), "+": (("t", 1.0),), "€": (("e", 1.0),),
     "*": (("a", 2.0), ("e", 2.0), ("i", 2.0), ("o", 2.0), ("u", 2.0)),
 }
+# fixed values: letters of other scripts that look like Latin ones
+LOOK_ALIKES = dict(zip("авеікмнорстухсѕјԁɡһ" "αεικνορτυχ", "abeikmhopctyxcsjdgh" "aeikvoptyx", strict=True))
+STANDS_FOR |= {x: ((a, 0.3),) for x, a in LOOK_ALIKES.items()}
+#: Full-width forms are the ASCII characters that they stand for.
+_NARROW = {c: c - 0xFEE0 for c in range(0xFF01, 0xFF5F)}
 _SEPARATORS = " .-_*"
-_DROP, _KEEP_TWO, _LETTER = 0.5, 1.0, 2.6  # prices; the last is what a letter must earn back
+_DROP, _BREAK, _KEEP_TWO, _LETTER = 0.5, 0.5, 1.0, 2.6  # prices; the last is what a letter must earn back
 
 _WORD = re.compile(r"[^\W\d_]+")
-_MIXED = re.compile(r"(?<![a-z0-9@$])(?:[a-z]{0,12}[0-9@$!|+€*]{1,3}){1,6}[a-z]{1,16}(?![a-z0-9@$])")
-_SPACED = re.compile(r"(?<!\w)(?:[a-z0-9@$!][ .\-_*]{1,2}){3,15}[a-z0-9@$!](?!\w)")
+_ODD, _ALIKE = r"0-9@$!|+€*._\-", "".join(LOOK_ALIKES)
+#: Runs of letters and symbols with a symbol or look-alike; and single letters in a row.
+_MIXED = re.compile(rf"(?<![\w@$])[a-z]*+[{_ODD}{_ALIKE}][a-z{_ODD}{_ALIKE}]*+")
+_SPACED = re.compile(r"(?<![\w@$])[a-z0-9@$!](?:[ .\-_*]{1,2}[a-z0-9@$!](?![\w@$])){2,}+")
 _REPEATED = re.compile(r"([a-z])\1\1+")
-_LONGEST = 40
+_LATIN = re.compile("[a-z]")
+_ONLY_LATIN = re.compile("[a-z]+")
+_ONLY_ODD = re.compile("[@$!]{2,}")
+#: Spans of at most so many characters are remembered; others are read each time.
+_REMEMBERED = 40
 
 
 def _classes() -> np.ndarray:
@@ -71,7 +85,7 @@ def trigram_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["code", "n"])
 
-    rows = docs.select(text).mapInArrow(count, "code int, n bigint").groupBy("code").agg(F.sum("n").alias("n")).collect()
+    rows = docs.select(text).mapInArrow(trimmed(count), "code int, n bigint").groupBy("code").agg(F.sum("n").alias("n")).collect()
     out = np.zeros(CLASSES**3)
     for r in rows:
         out[r["code"]] = r["n"]
@@ -100,25 +114,38 @@ class LetterModel:
             else:
                 options = [(a, price) for a, price in STANDS_FOR.get(ch, ())]
                 if ch in _SEPARATORS or not options:
-                    options.append(("", _DROP))
-                if j - i == 2 and options[0][0]:
-                    options += [(a * 2, price + _KEEP_TWO) for a, price in options if a]
+                    options += [("", _DROP), (" ", _BREAK)]
+                if j - i >= 2:
+                    options += [(a * 2, price + (0.0 if ch in LOOK_ALIKES and j - i == 2 else _KEEP_TWO)) for a, price in options if a.strip()]
                 steps.append(options)
             i = j
-        states: dict[tuple[int, int], list[tuple[float, str]]] = {(0, 0): [(0.0, "")]}
+        # the best paths into each pair of classes; a path is (what came before, what it emits here)
+        states: dict[tuple[int, int], list[tuple[float, tuple | None]]] = {(0, 0): [(0.0, None)]}
         for options in steps:
-            after: dict[tuple[int, int], list[tuple[float, str]]] = {}
+            after: dict[tuple[int, int], list[tuple[float, tuple | None]]] = {}
             for (a, b), paths in states.items():
                 for emit, price in options:
                     x, y, gain = a, b, -price
                     for letter in emit:
-                        z = ord(letter) - 96
-                        gain += self.log[x][y][z] + _LETTER
+                        z = 0 if letter == " " else ord(letter) - 96
+                        gain += self.log[x][y][z] + (_LETTER if z else 0.0)
                         x, y = y, z
-                    after.setdefault((x, y), []).extend((s + gain, w + emit) for s, w in paths)
-            states = {k: sorted(p, reverse=True)[:BEST] for k, p in after.items()}
-        ended = [(s + self.log[a][b][0], w) for (a, b), paths in states.items() for s, w in paths]
-        return [w for _, w in sorted(ended, reverse=True)[:BEST]]
+                    after.setdefault((x, y), []).extend([(s + gain, (w, emit) if emit else w) for s, w in paths])
+            states = {k: sorted(p, key=_gain, reverse=True)[:BEST] if len(p) > 1 else p for k, p in after.items()}
+        ended = sorted(((s + self.log[a][b][0], w) for (a, b), paths in states.items() for s, w in paths), key=_gain, reverse=True)
+        return [_spelled(w) for _, w in ended[:BEST]]
+
+
+def _gain(path: tuple) -> float:
+    return path[0]
+
+
+def _spelled(path: tuple | None) -> str:
+    parts = []
+    while path is not None:
+        path, emit = path
+        parts.append(emit)
+    return "".join(reversed(parts))
 
 
 class Reader:
@@ -127,32 +154,49 @@ class Reader:
     def __init__(self, model: LetterModel):
         self.model, self.held = model, {}
 
-    def readings(self, lowered: str) -> set[str]:
-        spans = {m[0] for m in _MIXED.finditer(lowered)}
-        spans.update(m[0] for m in _SPACED.finditer(lowered))
+    def spans(self, lowered: str) -> set[str]:
+        """What may be a disguised word, or several."""
+        found = set()
+        for m in _MIXED.finditer(lowered):
+            s = m[0].strip("!|+*._-")
+            # numbers and plain words say what they say
+            if s and not _ONLY_LATIN.fullmatch(s) and (_LATIN.search(s) or _ONLY_ODD.fullmatch(s)):
+                found.add(s)
+        for m in _SPACED.finditer(lowered):
+            if _LATIN.search(m[0]):
+                found.add(m[0])
+        last = 0
         for m in _REPEATED.finditer(lowered):
             a, b = m.span()
-            while a and b - a < _LONGEST and "a" <= lowered[a - 1] <= "z":
+            if a < last:
+                continue
+            while a > last and "a" <= lowered[a - 1] <= "z":
                 a -= 1
-            while b < len(lowered) and b - a < _LONGEST and "a" <= lowered[b] <= "z":
+            while b < len(lowered) and "a" <= lowered[b] <= "z":
                 b += 1
-            spans.add(lowered[a:b])
+            found.add(lowered[a:b])
+            last = b
+        return found
+
+    def readings(self, lowered: str) -> set[str]:
         found: set[str] = set()
-        for s in spans:
-            if len(s) > _LONGEST:
-                continue
+        for s in self.spans(lowered):
             got = self.held.get(s)
             if got is None:
-                if len(self.held) > 50_000:
-                    self.held.clear()
-                got = self.held[s] = self.model.read(s)
-            found.update(got)
+                got = {w for reading in self.model.read(s) for w in reading.split()}
+                if len(s) <= _REMEMBERED:
+                    if len(self.held) > 50_000:
+                        self.held.clear()
+                    self.held[s] = got
+            found |= got
         return found
 
     def words(self, text: str | None) -> set[str]:
         if not text:
             return set()
         lowered = text.lower()
+        if not lowered.isascii():
+            lowered = lowered.translate(_NARROW)
         return set(_WORD.findall(lowered)) | self.readings(lowered)
 
     def features(self, text: str | None) -> set[str]:
@@ -189,7 +233,10 @@ def held_out(key: Column) -> Column:
 
 
 def _weights(rows: DataFrame) -> dict[str, float]:
-    """Log ratios of the features of (label, features) rows that toxic documents have more often."""
+    """Log ratios of the features of (label, features) rows that toxic documents have more often.
+
+    Rows are a sample of at most SAMPLE, so the features are bounded by it, not by the corpus.
+    """
     totals = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     p, n = totals.get(1, 0), totals.get(0, 0)
     if not p or not n:
@@ -197,7 +244,7 @@ def _weights(rows: DataFrame) -> dict[str, float]:
     counted = rows.select("label", F.explode("features").alias("f")).groupBy("f").agg(F.sum("label").alias("p"), F.count(F.lit(1)).alias("c"))
     ratio = F.ln((F.col("p") + 0.5) / (p + 1)) - F.ln((F.col("c") - F.col("p") + 0.5) / (n + 1))
     kept = counted.where(F.col("p") >= LEAST_COUNT).withColumn("x", ratio).where(F.col("x") > LEAST_RATIO)
-    return {r["f"]: r["x"] for r in kept.orderBy(F.desc(F.col("p") * F.col("x")), "f").limit(LEXICON).collect()}
+    return {r["f"]: r["x"] for r in kept.collect()}
 
 
 def _logistic(points: list[tuple[float, int]]) -> tuple[float, float]:
@@ -220,7 +267,9 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     counts = trigram_counts(docs, text)
     known = labels.where(F.col("toxic").isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(F.max("toxic").alias("label"))
     chosen = known.where(~held_out(F.col(key))).orderBy(F.xxhash64(key), key).limit(SAMPLE)
-    sample = docs.select(key, text).join(F.broadcast(chosen), key)
+    # SAMPLE ids at most; a repeated id gives one row
+    first = F.min(F.struct(F.xxhash64(text).alias("digest"), F.col(text).alias("text"))).alias("first")
+    sample = docs.select(key, text).join(F.broadcast(chosen), key).groupBy(key, "label").agg(first).select(key, "label", F.col("first.text").alias(text))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(LetterModel(counts))
@@ -231,7 +280,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.list_(pa.string())), part.column(2)], names=["label", "features", "seen"])
 
     seen = F.pmod(F.xxhash64(key, F.lit(5)), F.lit(10)) < 6
-    rows = cut(sample.select(F.col("label").cast("int").alias("label"), text, seen.alias("seen")).mapInArrow(read, "label int, features array<string>, seen boolean"), "toxicity")
+    rows = cut(sample.select(F.col("label").cast("int").alias("label"), text, seen.alias("seen")).mapInArrow(trimmed(read), "label int, features array<string>, seen boolean"), "toxicity")
     half = _weights(rows.where("seen"))
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,7 +290,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
     if half:
         # at most SAMPLE rows
-        points = rows.where("not seen").select("label", "features").mapInArrow(weigh, "label int, e double").collect()
+        points = rows.where("not seen").select("label", "features").mapInArrow(trimmed(weigh), "label int, e double").collect()
         curve = _logistic([(r["e"], r["label"]) for r in points])
     else:
         curve = (0.0, -60.0)
@@ -257,7 +306,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id", tex
             scores = [scorer.score(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=[key, "score"])
 
-    scored = docs.select(key, text).mapInArrow(run, f"`{key}` bigint, score double")
+    scored = docs.select(key, text).mapInArrow(trimmed(run), f"`{key}` bigint, score double")
     return scored.select(key, held_out(F.col(key)).alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"))
 
 
@@ -270,4 +319,4 @@ def keep_civil(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: st
             texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
             yield batch.filter(pa.array([scorer.score(t) < CUT for t in texts], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(trimmed(run), docs.schema)
