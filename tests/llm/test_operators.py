@@ -122,6 +122,14 @@ def test_html_frame(spark):
     assert html_extract.extract_pages(df.limit(0)).count() == 0
 
 
+def test_threshold_prunes_lists_of_links():
+    links = "<div><ul><li><a href=x>Home link</a></li><li><a href=y>Other link</a></li></ul></div>"
+    article = "<div><p>" + "A paragraph of an article that says much. " * 9 + "</p><h2>Short</h2><p>See <a href=z>this</a>.</p></div>"
+    want = ("A paragraph of an article that says much. " * 9).strip() + "\nShort\nSee this."
+    assert html_extract.extract(f"<body>{article}{links}</body>") == html_extract.extract(f"<body>{links}{article}</body>") == want
+    assert html_extract.extract("<body><div class='content has-sidebar'><p>kept words</p></div><div class='sidebar'>gone</div></body>") == "kept words"
+
+
 # ---- 3 ---------------------------------------------------------------------------------------------------------------
 
 
@@ -251,6 +259,27 @@ def test_trigrams_are_counted_over_all_texts(spark):
     assert counts.sum() == sum(len(f" {t} ".encode()) - 2 for _, t in TEXTS if t)
 
 
+def test_disguises_of_any_length():
+    text = "you are a stupid idiot and those morons act like bitches or asses " * 50
+    table, c = toxicity._classes(), None
+    c = table[np.frombuffer(f" {text} ".encode(), np.uint8)]
+    counts = np.bincount((c[:-2] * 28 + c[1:-1]) * 28 + c[2:], minlength=28**3).astype(float)
+    reader = toxicity.Reader(toxicity.LetterModel(counts))
+    for odd, word in {
+        "m0r0n5": "morons", "b1tche$": "bitches", "stu.pid": "stupid", "st-up-id!": "stupid", "i d i o t": "idiot", "y o u a r e a s t u p i d i d i o t": "idiot", "stup" + "i" * 500 + "d": "stupid",
+        "idiоt": "idiot", "ｓｔｕｐｉｄ": "stupid", "a c t": "act", "x" * 300 + "1": "xi", "@$$e$": "asses",
+    }.items():
+        assert word in reader.words(f"so {odd}, they say"), odd
+    assert reader.spans("on 2020-01-02 for $100 | 12 | well. 4 5 6 7") == set()
+
+
+def test_toxicity_of_odd_tables(spark):
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (None, 1)], "doc_id long, toxic int")
+    got = toxicity.score_documents(docs(spark, [(1, "a b"), (1, "a b"), (1, None), (None, "a b"), (2, "")]), labels).collect()
+    assert len(got) == 5 and all(r["score"] == got[0]["score"] for r in got) and all(r["held_out"] is not None for r in got)
+    assert toxicity.score_documents(docs(spark, []), labels).collect() == []
+
+
 # ---- 5 ---------------------------------------------------------------------------------------------------------------
 
 
@@ -472,3 +501,22 @@ def test_licenses(spark):
     got = sorted((r["doc_id"], r["license"] or "", r["notices"]) for r in licenses.scan_licenses(docs(spark, rows)).collect())
     assert got == [(1, "MIT", ""), (2, "MIT", ""), (3, "", ""), (4, "", ""), (5, "", ""), (6, "", ""), (6, "", "Apache-2.0,CC-BY-NC-4.0"), (7, "ISC", "")]
     assert len({licenses.TEXTS[k] for k in licenses.TEXTS}) == len(licenses.TEXTS)
+
+
+def test_licence_wordings(spark):
+    mit = licenses.TEXTS["MIT"]
+    wrapped = "\n".join(mit.replace("AUTHORS OR COPYRIGHT HOLDERS", "AUTHORS OR\nCOPYRIGHT HOLDERS").split("\n"))
+    lines = {
+        "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0", "Released under the MIT License.": "MIT", "This software is available under the terms of the Apache License 2.0": "Apache-2.0",
+        "# SPDX-License-Identifier: MPL-2.0": "MPL-2.0", "-" * 210 + " Licensed under CC BY-NC 4.0." + " " * 300: "CC-BY-NC-4.0", "MIT": "", "We met the MIT team about a license": "", "Licenced under Creative Commons Attribution-ShareAlike 4.0 International licence": "CC-BY-SA-4.0",
+        "license licence license": "",
+    }
+    rows = [(i, f"some text\n{x}\nand more") for i, x in enumerate(lines)] + [(100, wrapped), (101, "The MIT License (MIT)\n\nCopyright (c) 2020 A. Body\n\n" + mit), (102, "BSD 3-Clause License\nCopyright 2001, The Body.\nAll rights reserved.\n" + licenses.TEXTS["BSD-3-Clause"])]
+    got = {r["doc_id"]: r for r in licenses.scan_licenses(docs(spark, rows)).collect()}
+    assert [got[i]["notices"] for i in range(len(lines))] == list(lines.values())
+    assert [got[i]["license"] for i in (100, 101, 102)] == ["MIT", "MIT", "BSD-3-Clause"]
+    same = [r[0] for r in spark.createDataFrame([("licence licence",), ("license licence",), ("licence license",)], "t string").select(licenses.digest(F.col("t"))).collect()]
+    assert len(set(same)) == 1
+    assert licenses.scan_licenses(docs(spark, [])).collect() == []
+
+
