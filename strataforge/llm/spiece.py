@@ -33,6 +33,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import trimmed
+
 SPACE = "▁"
 RATE, SEED = 0.1, 1
 #: Chunks of at most so many symbols are cut together, by width; longer ones, which are rare, one by one.
@@ -417,7 +419,7 @@ def encode_documents(docs: DataFrame, model_file: str, key: str = "doc_id", text
                 tokens = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), tokens], names=[key, "token_ids"])
 
-    return docs.select(key, text).mapInArrow(run, f"`{key}` bigint, token_ids array<int>")
+    return docs.select(key, text).mapInArrow(trimmed(run), f"`{key}` bigint, token_ids array<int>")
 
 
 def round_trip(docs: DataFrame, model_file: str, key: str = "doc_id", text: str = "text", rate: float = RATE, seed: int = SEED) -> DataFrame:
@@ -440,4 +442,4 @@ def round_trip(docs: DataFrame, model_file: str, key: str = "doc_id", text: str
                     names=[key, "n_tokens", "ids_sha256", "decoded_sha256", "lossless"],
                 )
 
-    return docs.select(F.col(key), F.col(text)).mapInArrow(run, f"`{key}` bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, lossless boolean")
+    return docs.select(F.col(key), F.col(text)).mapInArrow(trimmed(run), f"`{key}` bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, lossless boolean")

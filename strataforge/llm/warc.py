@@ -26,7 +26,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import fresh_path
+from .shared import fresh_path, trimmed
 
 REVISIT_FROM = 100
 ROLL = 64 << 20
@@ -112,7 +112,7 @@ def write_warc(pages: DataFrame, key: str = "page_id", url: str = "url", html: s
     kind = F.when(F.col("first").isNotNull(), "revisit").otherwise("response")
     ready = marked.select("id", "url", "html", kind.alias("kind"), F.col("first").alias("refers"))
     table = fresh_path(spark, "warc-manifest")
-    ready.mapInArrow(_writer(folder), _MANIFEST).write.parquet(table)
+    ready.mapInArrow(trimmed(_writer(folder)), _MANIFEST).write.parquet(table)
     return spark.read.schema(_MANIFEST).parquet(table)
 
 
@@ -274,7 +274,7 @@ def _reader(with_payload: bool):
 def read_warc(files: DataFrame, with_payload: bool = True) -> DataFrame:
     """Records and quarantined gaps of the files in column ``path``, which all executors can open."""
     spread = files.select("path").repartition(max(1, int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    return spread.mapInArrow(_reader(with_payload), _RECORDS)
+    return spread.mapInArrow(trimmed(_reader(with_payload)), _RECORDS)
 
 
 def warc_round_trip(pages: DataFrame, key: str = "page_id") -> DataFrame:

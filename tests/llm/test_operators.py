@@ -491,6 +491,31 @@ def test_pii(spark):
     assert pii.find_pii(docs(spark).limit(0)).count() == 0
 
 
+def test_added_spans(spark):
+    """Recall and precision of what the trees add, on sentences that are none of their examples."""
+    yes = {
+        "You can write to john [at] example [dot] com any time.": ["john [at] example [dot] com"], "212-555-0199 was on the note": ["212-555-0199"], "His number, 123-45-6789, was listed.": ["123-45-6789"],
+        "jane.doe (at) mail (dot) org": ["jane.doe (at) mail (dot) org"], "We saw 4111.1111.1111.1111 on it": ["4111.1111.1111.1111"], "two cards 4111111111111111 5500005555555559 lay there": ["4111111111111111", "5500005555555559"],
+        "Ring me on (415) 555-2671 please": ["(415) 555-2671"], "maria at gmail dot com": ["maria at gmail dot com"], "reach us: 303.555.0142": ["303.555.0142"], "+1 (988) 555-2485 4337166598464399": ["+1 (988) 555-2485", "4337166598464399"],
+        "pay 5500-0055-5555-5559 4111-1111-1111-1111 now": ["5500-0055-5555-5559", "4111-1111-1111-1111"], "my ssn: 219-09-9999": ["219-09-9999"], "bob @ work . com": ["bob @ work . com"], "415 555 2671 is the desk": ["415 555 2671"],
+        "4111 1111 1111 1111 12345": ["4111 1111 1111 1111"], "Contact 650-253-0000, ask for Al.": ["650-253-0000"], "the nurse (628) 555-0107 said so": ["(628) 555-0107"], "call center at 888 555 0123.": ["888 555 0123"],
+    }
+    no = [
+        "order 212-555-0199", "version 4111.1111.1111.1112", "the file 000-12-3456", "part 666-45-1234", "He arrived at noon. De Gaulle spoke", "numbers 1234567812345678 8765432187654321", "serial: 123-456-7890-12", "id=123-456-7890",
+        "SKU 987-65-4321", "look at the dot on it", "invoice 415-555-2671", "we met at home. Us two", "ratio 100 200 3000", "pages 12-34 and 56-78-90", "isbn 978-3-16-148410-0", "between 1914-1918 and 1939-1945",
+    ]
+    texts = [*yes, *no]
+    found = {r["doc_id"]: [t for t in r["spans"].split(",") if t] for r in pii.find_pii(docs(spark, list(enumerate(texts)))).collect()}
+    spans = {i: [texts[i][int(a) : int(b)] for _, a, b in (x.split(":") for x in got)] for i, got in found.items()}
+    wanted = [(i, x) for i, t in enumerate(yes) for x in yes[t]]
+    assert sum(x in spans[i] for i, x in wanted) >= 0.9 * len(wanted)
+    assert sum(len(spans[i]) for i in range(len(yes), len(texts))) <= 1
+    # many matches are located as few are
+    many = "a@b.co " * 1000
+    assert [r["n_email"] for r in pii.find_pii(docs(spark, [(1, many)])).collect()] == [1000]
+    assert pii.find_pii(docs(spark, [])).collect() == []
+
+
 # ---- 10 --------------------------------------------------------------------------------------------------------------
 
 
