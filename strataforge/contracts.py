@@ -23,7 +23,7 @@ EVENT_CATEGORIES = {
     "checkout": ("checkout_start", "checkout_attempt", "payment_attempt", "purchase", "order_placed"),
     "engagement": ("rating", "review", "product_rating"),
     "wishlist": ("wishlist_add", "wishlist_remove"),
-    "error": ("error", "error_page"),
+    "error": ("error", "page_error"),
 }
 KNOWN_EVENTS = tuple(t for types in EVENT_CATEGORIES.values() for t in types)
 
@@ -33,6 +33,7 @@ FUNNEL_STAGES = (
     ("checkout_start", "Checkout Start"), ("payment_attempt", "Payment Attempt"), ("order_complete", "Order Complete"),
 )
 
+# fixed values: patterns of mail and network addresses
 EMAIL = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"
 _OCTET = r"(25[0-5]|2[0-4][0-9]|[01]?[0-9][0-9]?)"
 IPV4 = rf"^{_OCTET}\.{_OCTET}\.{_OCTET}\.{_OCTET}$"
@@ -55,6 +56,7 @@ TECHNICAL = {
     "_kafka_topic": "string", "_kafka_partition": "int", "_kafka_offset": "bigint", "_kafka_timestamp": "timestamp", "_wire_schema_id": "int",
     "source_table": "string", "bronze_ingestion_timestamp": "timestamp", "partition_date": "string", "_source_file": "string",
 }
+# fixed values: patterns of ids
 ID_PATTERNS = {
     "category_id": "^C[0-9]+$", "parent_category_id": "^C[0-9]+$", "user_id": "^U[0-9]+$", "product_id": "^P[0-9]+$", "order_id": "^O[0-9]+$",
     "order_item_id": "^OI[0-9]+$", "price_history_id": "^PH[0-9]+$",

@@ -32,16 +32,16 @@ _FALLBACK = ("session_id", "event_type", "timestamp", "event_timestamp", "user_i
 
 
 def event_identity(df: DataFrame) -> tuple[Column, Column]:
-    """(event_key, event_identity_source): the event id, else the broker coordinates, else seven fields."""
+    """(event_key, event_identity_source): the event id, else the broker coordinates, else those of seven fields that there are."""
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) if c in df.columns else F.lit("")
     by_id = nonblank(F.col("event_id")) if "event_id" in df.columns else F.lit(False)
     by_place = complete_coordinates() if {"kafka_topic", "kafka_partition", "kafka_offset"} <= set(df.columns) else F.lit(False)
     key = (
         F.when(by_id, sha(F.lit("event_id"), F.trim(text("event_id"))))
-        .when(by_place, sha(F.lit("kafka"), text("kafka_topic"), text("kafka_partition"), text("kafka_offset")))
-        .otherwise(sha(F.lit("fallback"), *[text(c) for c in _FALLBACK]))
+        .when(by_place, sha(F.lit("kafka"), F.trim(text("kafka_topic")), text("kafka_partition"), text("kafka_offset")))
+        .otherwise(sha(F.lit("fallback"), *[text(c) for c in _FALLBACK if c in df.columns]))
     )
-    return key, F.when(by_id, "event_id").when(by_place, "kafka").otherwise("fallback")
+    return key, F.when(by_id, "event_id").when(by_place, "kafka_coordinate").otherwise("fallback_fields")
 
 
 def natural(prefix: str, c: Column, case_sensitive: bool = True) -> Column:
@@ -53,8 +53,9 @@ def ip_hash(c: Column) -> Column:
     return F.when(nonblank(c), sha(F.lit("ip"), F.lower(F.trim(c))))
 
 
-def record_key(*parts: Column) -> Column:
-    return sha(*[F.coalesce(p.cast("string"), F.lit("")) for p in parts])
+def record_key(kind: str, *parts: Column) -> Column:
+    """The digest of a kind of record and its parts; nulls are blank."""
+    return sha(F.lit(kind), *[F.coalesce(p.cast("string"), F.lit("")) for p in parts])
 
 
 def run_key(day: date, pipeline: str = "silver_behavioral") -> str:

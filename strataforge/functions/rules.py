@@ -49,7 +49,7 @@ def transactional_rejects(table: str) -> list[Rule]:
 def transactional_warnings(table: str) -> list[Rule]:
     found = [Rule(f"{c}:unusual_id_format", nonblank(F.col(c)) & ~F.trim(F.col(c)).rlike(ID_PATTERNS[c])) for c in TABLES[table] if c in ID_PATTERNS]
     if table == "users":
-        found.append(Rule("email:unusual_format", nonblank(F.col("email")) & ~good_email(F.col("email"))))
+        found.append(Rule("email:unusual_format", F.col("email").isNotNull() & ~good_email(F.col("email"))))
     if table == "orders":
         found.append(Rule("event_timestamp:repaired", F.col("_timestamp_repaired")))
     if table == "product_price_history":

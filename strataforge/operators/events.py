@@ -12,6 +12,8 @@ from ..functions.rules import codes, event_rejects, event_warnings
 from .dedup import first_by, newest_first, oldest_first
 from .transactional import Validated, snapshot
 
+# fixed values: the name of the source in issues, the order of copies and older names of columns
+SOURCE = "behavioral_events"
 _ORDER = ("bronze_ingestion_timestamp", "kafka_timestamp", "kafka_topic", "kafka_partition", "kafka_offset", "_source_file")
 _ALIASES = {"source_topic": "kafka_topic", "source_partition": "kafka_partition", "source_offset": "kafka_offset", "device": "device_type"}
 
@@ -54,14 +56,16 @@ def validate_events(df: DataFrame) -> Validated:
 
 
 def issue_rows(checked: Validated, run_ts: Column) -> DataFrame:
-    """One row per (record, issue), errors and warnings in one pass."""
+    """One row per (record, issue), errors and warnings in one pass. The raw record is part of a record's key, so faulty
+    rows without an identity of their own stay apart."""
     of = lambda c, status: F.transform(c, lambda x: F.struct(F.lit(status).alias("issue_status"), x.alias("issue_code")))
     issue = F.explode(F.concat(of(F.col("validation_errors"), "REJECTED"), of(F.col("validation_warnings"), "WARNING")))
     place = [F.col(c) for c in ("kafka_topic", "kafka_partition", "kafka_offset")]
     rows = checked.rows.withColumn("_issue", issue)
-    record = keys.record_key(F.col("event_key"), *place, F.col("_source_file"))
-    return rows.select(
-        record.alias("record_key"), keys.record_key(record, F.col("_issue.issue_status"), F.col("_issue.issue_code")).alias("issue_key"), "event_key", "event_id",
+    named = rows.withColumn("record_key", keys.record_key("quality_record", F.col("event_key"), *place, F.col("_source_file"), F.col("original_record")))
+    issue_key = keys.record_key("quality_issue", F.lit(SOURCE), F.col("record_key"), F.col("_issue.issue_status"), F.col("_issue.issue_code"))
+    return named.select(
+        F.lit(SOURCE).alias("source_table"), "record_key", issue_key.alias("issue_key"), "event_key", "event_id",
         "_issue.issue_status", "_issue.issue_code", "kafka_topic", "kafka_partition", "kafka_offset", "original_record", run_ts.alias("detected_at"),
     )
 
@@ -76,6 +80,7 @@ def quarantine(checked: Validated, run_ts: Column) -> DataFrame:
     )
 
 
+# fixed values: columns to be collapsed and put in snake case
 _COLLAPSED = ("product_id", "order_id", "url_path", "query", "wishlist_name", "payment_type", "shipping_method", "fulfillment_speed", "error_code", "ip_address", "utm_source")
 _SNAKE = ("event_type", "payment_type", "shipping_method", "fulfillment_speed", "utm_source")
 

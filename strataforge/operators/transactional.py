@@ -71,10 +71,10 @@ def validate(df: DataFrame, table: str) -> Validated:
 
 def issue_key() -> Column:
     """Digest of what identifies an issue; the volatile snapshot isn't part of it."""
-    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    listed = lambda c: F.array_join(F.col(c), ",")
-    parts = [text("source_table"), text("record_id"), text("issue_status"), listed("validation_errors"), listed("validation_warnings"), text("_kafka_topic"), text("_kafka_partition"), text("_kafka_offset")]
-    return sha(*parts)
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("__NULL__"))
+    listed = lambda c: F.coalesce(F.to_json(c), F.lit("[]"))
+    parts = [text("source_table"), text("record_id"), text("issue_status"), listed("validation_errors"), listed("validation_warnings"), text("repair_description"), text("_kafka_topic"), text("_kafka_partition"), text("_kafka_offset")]
+    return sha(*parts, sep="||")
 
 
 def quality_issues(checked: Validated, table: str, run_ts: Column) -> DataFrame:

@@ -67,8 +67,8 @@ _DEV = f"coalesce(CASE lower({_nl('device_type')}) WHEN 'android' THEN 'mobile'
 _SNAKE = r"regexp_replace(lower(trim({0})), '[\s-]+', '_', 'g')"
 _CAT = """CASE WHEN event_type IN ('page_view','product_view','home_view','category_view','click') THEN 'browse' WHEN event_type IN ('search_product','search') THEN 'search'
  WHEN event_type IN ('add_to_cart','remove_from_cart','view_cart','update_cart') THEN 'cart' WHEN event_type IN ('checkout_start','checkout_attempt','payment_attempt','purchase','order_placed') THEN 'checkout'
- WHEN event_type IN ('rating','review','product_rating') THEN 'engagement' WHEN event_type IN ('wishlist_add','wishlist_remove') THEN 'wishlist' WHEN event_type IN ('error','error_page') THEN 'error' ELSE 'other' END"""
-_KNOWN = "'page_view','product_view','home_view','category_view','click','search_product','search','add_to_cart','remove_from_cart','view_cart','update_cart','checkout_start','checkout_attempt','payment_attempt','purchase','order_placed','rating','review','product_rating','wishlist_add','wishlist_remove','error','error_page'"
+ WHEN event_type IN ('rating','review','product_rating') THEN 'engagement' WHEN event_type IN ('wishlist_add','wishlist_remove') THEN 'wishlist' WHEN event_type IN ('error','page_error') THEN 'error' ELSE 'other' END"""
+_KNOWN = "'page_view','product_view','home_view','category_view','click','search_product','search','add_to_cart','remove_from_cart','view_cart','update_cart','checkout_start','checkout_attempt','payment_attempt','purchase','order_placed','rating','review','product_rating','wishlist_add','wishlist_remove','error','page_error'"
 _KEY = "sha256('kafka|' || kafka_topic || '|' || kafka_partition || '|' || kafka_offset)"
 
 #: Steps that several twins share.
@@ -238,7 +238,7 @@ def id_pattern_warnings(spark, sf):
     return _checked(spark, sf, "orders_src", "orders").rows.select("order_id", F.when((user != "") & ~user.rlike("^U[0-9]$"), "long").otherwise("short").alias("kind"), _joined("validation_warnings"))
 
 
-@query(f"SELECT kafka_offset, copy_no, {_KEY} AS event_key, 'kafka' AS event_identity_source, sha256('behavioral.events||' || kafka_partition || '||' || kafka_offset) AS bronze_event_id FROM ev", "ev")
+@query(f"SELECT kafka_offset, copy_no, {_KEY} AS event_key, 'kafka_coordinate' AS event_identity_source, sha256('behavioral.events||' || kafka_partition || '||' || kafka_offset) AS bronze_event_id FROM ev", "ev")
 def event_key_sha(spark, sf):
     df = events.with_identity(events.align(view(spark, sf, "ev")))
     return df.select("kafka_offset", "copy_no", "event_key", "event_identity_source", keys.bronze_event_id("kafka_topic", "kafka_partition", "kafka_offset").alias("bronze_event_id"))
@@ -274,8 +274,9 @@ def items_rejects(spark, sf):
 
 
 @query(
-    f"""SELECT record_id, issue_status, validation_errors, sha256('orders|' || record_id || '|' || issue_status || '|' || validation_errors || '|' || w || '||' || _kafka_partition || '|' || _kafka_offset) AS issue_key FROM (
- SELECT order_id AS record_id, _kafka_partition, _kafka_offset, {_O_ERR} AS validation_errors, CASE WHEN repaired THEN 'event_timestamp:repaired' ELSE '' END AS w,
+    f"""SELECT record_id, issue_status, validation_errors, sha256('orders||' || record_id || '||' || issue_status || '||' || e || '||' || w || '||' || r || '||__NULL__||' || _kafka_partition || '||' || _kafka_offset) AS issue_key FROM (
+ SELECT order_id AS record_id, _kafka_partition, _kafka_offset, {_O_ERR} AS validation_errors, CASE WHEN {_O_ERR} = '' THEN '[]' ELSE '["' || replace({_O_ERR}, ',', '","') || '"]' END AS e,
+ CASE WHEN repaired THEN '["event_timestamp:repaired"]' ELSE '[]' END AS w, CASE WHEN repaired AND _kafka_timestamp IS NOT NULL THEN '{transactional.REPAIR_NOTE}' ELSE '__NULL__' END AS r,
  CASE WHEN trim(user_id) = '' OR total < 0 OR ts IS NULL THEN 'REJECTED' WHEN repaired THEN 'REPAIRED' ELSE 'WARNING' END AS issue_status FROM o_fix WHERE trim(user_id) = '' OR total < 0 OR ts IS NULL OR repaired)""",
     "orders_src",
 )
@@ -697,6 +698,22 @@ def partition_replace(spark, sf):
     return store.read("t").groupBy("full_date").agg(F.count(F.lit(1)).alias("rows"), F.sum("v").alias("v"))
 
 
+@query("SELECT event_id, CASE event_id % 5 WHEN 0 THEN 'error' WHEN 1 THEN 'other' WHEN 2 THEN 'search' WHEN 3 THEN 'engagement' ELSE 'error' END AS event_category FROM events")
+def event_categories(spark, sf):
+    """Written types: page errors in two spellings, an unknown one and others."""
+    written = F.element_at(F.array(*[F.lit(x) for x in ("Page Error", "error_page", "search-product", " rating ", "error")]), (F.col("event_id") % 5 + 1).cast("int"))
+    return spark.read.parquet(f"{sf}/events.parquet").select("event_id", cl.event_category(cl.snake(written)).alias("event_category"))
+
+
+@query("SELECT 'U' || c_custkey AS user_id, CASE WHEN c_custkey % 4 IN (0, 2) THEN 'email:unusual_format' ELSE '' END AS validation_warnings FROM customer")
+def email_warnings(spark, sf):
+    """Blank and malformed addresses are flagged, absent and good ones aren't."""
+    n = F.col("c_custkey")
+    email = F.when(n % 4 == 0, "  ").when(n % 4 == 1, " a.b@c.org ").when(n % 4 == 2, "a.b@c")
+    rows = spark.read.parquet(f"{sf}/customer.parquet").select(F.concat(F.lit("U"), n).alias("user_id"), email.alias("email"))
+    return transactional.validate(transactional.normalize_schema(rows, "users"), "users").rows.select("user_id", _joined("validation_warnings"))
+
+
 # ---- streams ---------------------------------------------------------------------------------------------------------
 
 
@@ -721,14 +738,17 @@ def stream_realtime_events(spark, sf):
 _AVRO = '{"type":"record","name":"e","fields":[{"name":"event_id","type":"long"}]}'
 
 
-@query("SELECT event_id, CASE event_id % 5 WHEN 1 THEN 'invalid_magic_byte' WHEN 2 THEN 'schema_id_mismatch' WHEN 3 THEN 'value_too_short' END AS decode_error, CASE WHEN event_id % 5 IN (0, 4) AND event_id < 64 THEN event_id END AS decoded FROM events WHERE event_id < 64")
+@query("SELECT event_id, CASE event_id % 5 WHEN 1 THEN 'invalid_magic_byte' WHEN 2 THEN 'schema_id_mismatch' WHEN 3 THEN 'value_too_short' END AS decode_error, CASE WHEN event_id % 5 IN (0, 4) THEN event_id END AS decoded FROM events")
 def avro_wire_decode(spark, sf):
-    """Framed values of one-byte integers, with faults by modulus."""
+    """Framed values of integers of any length, with faults by modulus."""
     from .sources.avro import decode
 
-    byte = lambda c: F.unhex(F.lpad(F.hex(c), 2, "0"))
-    n = F.col("event_id")
+    n = F.col("event_id").cast("bigint")
+    signed = F.shiftleft(n, 1).bitwiseXOR(F.shiftright(n, 63))  # zigzag
+    left = lambda k: F.shiftrightunsigned(signed, 7 * k)
+    byte = lambda k: F.lpad(F.hex(left(k).bitwiseAND(F.lit(127)) + F.when((left(k + 1) != 0) if k < 9 else F.lit(False), 128).otherwise(0)), 2, "0")
+    varint = F.unhex(F.concat(*[byte(k) if not k else F.when(left(k) != 0, byte(k)).otherwise("") for k in range(10)]))
     magic, schema_id = F.when(n % 5 == 1, F.lit("01")).otherwise(F.lit("00")), F.when(n % 5 == 2, F.lit("00000009")).otherwise(F.lit("00000007"))
-    body = F.concat(F.unhex(F.concat(magic, schema_id)), byte(n * 2))
-    rows = spark.read.parquet(f"{sf}/events.parquet").where("event_id < 64").select(n.alias("offset"), F.when(n % 5 == 3, F.unhex(F.lit("0000"))).otherwise(body).alias("value"))
+    body = F.concat(F.unhex(F.concat(magic, schema_id)), varint)
+    rows = spark.read.parquet(f"{sf}/events.parquet").select(n.alias("offset"), F.when(n % 5 == 3, F.unhex(F.lit("0000"))).otherwise(body).alias("value"))
     return decode(rows, _AVRO, 7).select(F.col("offset").alias("event_id"), "decode_error", F.col("event_id").alias("decoded"))

@@ -255,3 +255,35 @@ def test_realtime_first_reason(spark):
     df = spark.createDataFrame(rows, "product_id string, name string, price int, inventory int, popularity_score int")
     got = {r["product_id"]: (r["validation_error"], r["is_valid"], r["inventory"]) for r in serving.realtime(df, "products").collect()}
     assert got == {"P1": ("negative_inventory", 0, None), "P2": ("negative_price", 0, 1), "P3": (None, 1, 1)}
+
+
+def test_replacing_a_partition_writes_it_only(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}/s")
+    rows = spark.range(60).select((F.col("id") % 3).cast("int").alias("p"), "id", F.lit(1).alias("v"))
+    store.ensure("t", rows.select("p", "id", "v").schema, ["p"], ["id"])
+    first = store.replace_partition("t", rows.where("p = 0"), "p", 0)
+    for p in (1, 2):
+        store.replace_partition("t", rows.where(f"p = {p}"), "p", p)
+    files = lambda: {str(f) for f in (tmp_path / "s" / "t").rglob("*.parquet")}
+    before = files()
+    store.replace_partition("t", rows.where("p = 1").withColumn("v", F.lit(2)), "p", 1)
+    assert all("/p=1/" in f for f in files() - before) and len(files()) > len(before)
+    assert {(r["p"], r["v"], r["n"]) for r in store.read("t").groupBy("p", "v").agg(F.count(F.lit(1)).alias("n")).collect()} == {(0, 1, 20), (1, 2, 20), (2, 1, 20)}
+    assert store.read("t", first).count() == 20
+    store.replace_partition("t", rows.where("p > 5"), "p", 2)
+    assert store.read("t").count() == 40
+    store.merge("t", spark.createDataFrame([(0, 0, 9), (7, 99, 9)], "p int, id long, v int"), ["id"], Merge())
+    assert {r["v"] for r in store.read("t").where("id in (0, 99)").collect()} == {9} and store.read("t").count() == 41
+
+
+def test_keys_keep_faulty_records_apart(spark):
+    same = spark.createDataFrame([(" behavioral.events ", 1, 5, "a"), ("behavioral.events", 1, 5, "b")], "kafka_topic string, kafka_partition int, kafka_offset long, event_type string")
+    checked = events.validate_events(same)
+    assert checked.rows.select("event_key").distinct().count() == 1  # the topic is trimmed
+    issues = events.issue_rows(checked, F.lit("2024-01-01").cast("timestamp"))
+    assert issues.select("record_key").distinct().count() == 2 and issues.select("source_table").first()[0] == "behavioral_events"
+    assert issues.count() == issues.select("issue_key").distinct().count()
+    bare = spark.createDataFrame([("s", "x")], "session_id string, event_type string")
+    key, source = keys.event_identity(bare)
+    got = bare.select(key.alias("k"), source.alias("s"), F.sha2(F.lit("fallback|s|x").cast("binary"), 256).alias("w")).first()
+    assert got["k"] == got["w"] and got["s"] == "fallback_fields"
