@@ -3,10 +3,10 @@
 Words are runs of letters and digits, A-Z lower-cased. A benchmark window is ``WINDOW`` consecutive words of an item,
 or all words of a shorter item. Winnowing keeps the least hash of the ``WINDOW - K + 1`` K-grams inside each window,
 so two texts that share a span of ``WINDOW`` words share a fingerprint: the join on fingerprints finds every such
-span. A joined fingerprint is then extended to its window, which is compared word by word. Items shorter than a
-window are looked up by their whole length.
+span. Neighbouring windows of a text that have the same fingerprint look it up once; a joined fingerprint is extended to
+all windows of its run, which are compared word by word. Items shorter than a window are looked up by their whole length.
 
-The training side is read once: no position leaves its task unless its fingerprint is one of the benchmark's.
+The training side is read once: no words leave their task unless a fingerprint is one of the benchmark's.
 Fingerprints of the benchmark are broadcast below ``MAX_BROADCAST`` rows, which are counted first, and joined by a
 shuffle beyond that.
 
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .columns import lower_ascii, window_hashes, words
+from .columns import indices, let, lower_ascii, window_hashes, words
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
@@ -56,6 +56,31 @@ def _lengths(windows: DataFrame) -> tuple[list[int], int]:
     return sorted(r["len"] for r in found), sum(r["n"] for r in found)
 
 
+def _probes(w: Column, row: Column, lengths: list[int]) -> Column:
+    """array<struct<len, first, last, h>>: what a text of the words ``w`` looks up.
+
+    Of full windows, one fingerprint for each run of windows that have the same least K-gram hash, with the first and the
+    last of these windows; of shorter lengths every run of so many words; and, with length 0, the text itself, whose
+    hash is its own so that a shuffle spreads them.
+    """
+    probe = lambda n, first, last, h: F.struct(F.lit(n).alias("len"), first.alias("first"), last.alias("last"), h.alias("h"))
+
+    def winnowed(f: Column) -> Column:
+        fresh = F.filter(indices(F.size(f)), lambda i: (i == 0) | (F.get(f, i) != F.get(f, i - 1)))
+        return let(fresh, lambda at: F.transform(at, lambda i, k: probe(WINDOW, i, F.coalesce(F.get(at, k + 1), F.size(f)) - 1, F.get(f, i))))
+
+    parts = [F.array(probe(0, F.lit(-1), F.lit(-1), row))]
+    if WINDOW in lengths:
+        of_windows = lambda g: F.transform(indices(F.size(w) - (WINDOW - 1)), lambda i: _fingerprint(g, i))
+        parts.append(let(window_hashes(w, K), lambda g: let(of_windows(g), winnowed)))
+
+    def runs_of(n: int) -> Column:
+        return F.transform(indices(F.size(w) - (n - 1)), lambda i: probe(n, i, i, F.xxhash64(F.slice(w, i + 1, n))))
+
+    parts += [runs_of(n) for n in lengths if n < WINDOW]
+    return F.concat(*parts)
+
+
 def occurrences(docs: DataFrame, benchmark: DataFrame, key: str, text: str) -> DataFrame:
     """(row, key, n_words, i, len, items): occurrences of benchmark windows, and a row of null items per document.
 
@@ -65,30 +90,24 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, key: str, text: str) -> D
     lengths, n = _lengths(windows)
     small = n <= MAX_BROADCAST
     hint = F.broadcast if small else (lambda df: df)
-    split = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key), item_words(F.col(text)).alias("w"))
     kept = ["row", key, "n_words"]
-    counted = split.select("row", key, F.size("w").cast("bigint").alias("n_words"), "w", window_hashes(F.col("w"), K).alias("g"))
-    # a document keeps a row of length 0, whose hash is its own so that a shuffle spreads them
-    at = counted.select(*kept, "w", "g", F.explode(F.sequence(F.lit(-1), F.size("w") - 1)).alias("i"))
-    i, w, size = F.col("i"), F.col("w"), F.col("len")
-    if len(lengths) > 1:
-        at = at.withColumn("len", F.explode(F.array(*[F.lit(n) for n in lengths]))).where((i >= 0) | (size == lengths[0]))
-    else:
-        at = at.withColumn("len", F.lit(lengths[0] if lengths else WINDOW))
-    at = at.where((i < 0) | (i + size <= F.size("w")))
-    h = F.when(i < 0, F.col("row")).when(size == WINDOW, _fingerprint(F.col("g"), F.greatest(i, F.lit(0))))
-    at = at.withColumn("h", h.otherwise(F.xxhash64(F.slice(w, F.greatest(i, F.lit(0)) + 1, size)))).drop("g")
-    at = at.withColumn("len", F.when(i < 0, F.lit(0)).otherwise(size))
-    run = F.when(F.col("len") == 0, F.col("row").cast("string")).otherwise(F.concat_ws(" ", F.slice(w, F.greatest(i, F.lit(0)) + 1, F.col("len"))))
-    if not small:  # the words don't have to cross the shuffle
-        at = at.withColumn("win", run).drop("w")
+    read = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key), F.col(text).alias("t"))
+    looked = let(item_words(F.col("t")), lambda w: F.struct(w.alias("w"), _probes(w, F.col("row"), lengths).alias("p")))
+    at = read.select("row", key, looked.alias("x")).select("row", key, F.size("x.w").cast("bigint").alias("n_words"), F.col("x.w").alias("w"), F.explode("x.p").alias("p"))
+    at = at.select(*kept, "w", "p.len", "p.first", "p.last", "p.h")
+    # the words that the windows of a run cover
+    covered = F.slice("w", F.greatest(F.col("first"), F.lit(0)) + 1, F.col("last") - F.col("first") + F.col("len"))
+    if not small:  # the other words don't have to cross the shuffle
+        at = at.withColumn("s", covered).drop("w")
     known = windows.select("len", F.coalesce("fp", F.xxhash64(F.split("win", " "))).alias("h")).distinct()
-    known = known.withColumn("near", F.lit(True))
-    near = at.join(hint(known), ["len", "h"], "left").where(F.col("near") | (F.col("len") == 0))
+    near = at.join(hint(known.withColumn("near", F.lit(True))), ["len", "h"], "left").where(F.col("near") | (F.col("len") == 0))
     if small:
-        near = near.withColumn("win", run)
-    near = near.select(*kept, "i", "len", "win")
-    return near.join(hint(windows.select("win", "len", "items")), ["win", "len"], "left").select(*kept, "i", "len", "items")
+        near = near.withColumn("s", covered).drop("w")
+    # a fingerprint that is one of the benchmark's is extended to every window of its run
+    each = near.select(*kept, "len", "first", "s", F.explode(F.sequence("first", "last")).alias("i"))
+    run = F.when(F.col("len") == 0, F.col("row").cast("string")).otherwise(F.concat_ws(" ", F.slice("s", F.col("i") - F.col("first") + 1, F.col("len"))))
+    each = each.select(*kept, "i", "len", run.alias("win"))
+    return each.join(hint(windows.select("win", "len", "items")), ["win", "len"], "left").select(*kept, "i", "len", "items")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
