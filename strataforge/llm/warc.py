@@ -10,7 +10,10 @@ record, goes on from there, and reports the skipped bytes as a gap.
 
 Records with equal payloads of at least ``REVISIT_FROM`` bytes are one response, of the smallest id, and revisits of
 it. Defined results: a null payload is empty; a null id sorts after all others; null addresses become about:blank;
-repeated rows are records of their own (only the first is the response); extra columns are ignored.
+repeated rows are records of their own, and those of the smallest id are all responses, as a revisit would refer to
+itself; an empty table gives no records; extra columns are ignored.
+
+The round trip holds what it reads against the manifest: a gap or a file with other records than were written raises.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import fresh_path, trimmed
+from .shared import cut, fresh_path, trimmed
 
 REVISIT_FROM = 100
 ROLL = 64 << 20
@@ -279,7 +282,13 @@ def read_warc(files: DataFrame, with_payload: bool = True) -> DataFrame:
 
 def warc_round_trip(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """Write the archives of ``pages`` and digest what the reader finds in them."""
-    records = read_warc(write_warc(pages, key), with_payload=False).where("kind = 'record'")
+    written = write_warc(pages, key)
+    found = cut(read_warc(written, with_payload=False).drop("payload"), "warc-read")
+    back = found.groupBy("path").agg(F.count_if(F.col("kind") == "record").alias("found"), F.count_if(F.col("kind") == "gap").alias("gaps"))
+    wrong = written.join(back, "path", "left").where("coalesce(found, 0) <> records or gaps > 0")
+    if not wrong.isEmpty():
+        raise RuntimeError(f"archives don't hold what was written: {wrong.first()}")
+    records = found.where("kind = 'record'")
     number = lambda c: F.regexp_extract(F.col(c), r"^urn:page:(-?[0-9]+)$", 1).try_cast("bigint")
     return records.select(
         number("id").alias(key), F.col("length").alias("payload_bytes"), F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"),

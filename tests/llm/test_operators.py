@@ -358,6 +358,19 @@ def test_salvage():
     assert list(warc.salvage(io.BytesIO(b""))) == []
 
 
+def test_repeated_pages_and_lost_records(spark, monkeypatch):
+    page = "<p>" + "x" * 200 + "</p>"
+    pages = lambda rows: spark.createDataFrame(rows, "page_id long, url string, html string")
+    rows = [(1, "u", page), (1, "u", page), (2, "u", page), (3, None, None), (3, None, None)]
+    got = sorted((r["page_id"], r["record_type"], r["refers_to"]) for r in warc.warc_round_trip(pages(rows)).collect())
+    assert got == [(1, "response", None), (1, "response", None), (2, "revisit", 1), (3, "response", None), (3, "response", None)]
+    assert warc.warc_round_trip(pages([])).collect() == []
+    write = warc.write_warc
+    monkeypatch.setattr(warc, "write_warc", lambda *a: write(*a).withColumn("records", F.col("records") + 1))
+    with pytest.raises(RuntimeError):
+        warc.warc_round_trip(pages(rows))
+
+
 # ---- 7 ---------------------------------------------------------------------------------------------------------------
 
 
