@@ -14,6 +14,8 @@ from .dedup import first_by, newest_first
 
 UNKNOWN_PRICE = "__UNKNOWN_PRICE__::"
 BEGINNING = "1900-01-01 00:00:00"
+#: Price intervals of a product that are looked through for one sale.
+PAGE = 256
 
 
 def _audited(df: DataFrame, run_ts: Column) -> DataFrame:
@@ -38,7 +40,7 @@ def dim_date(orders: DataFrame | None, start: date | None = None, end: date | No
         span = orders.agg(F.to_date(F.min("event_timestamp")).alias("a"), F.to_date(F.max("event_timestamp")).alias("b")).where("a is not null")
     days = span.select(F.explode(F.sequence("a", "b", F.expr("interval 1 day"))).alias("full_date"))
     d = F.col("full_date")
-    return days.select(
+    return days.orderBy("full_date").select(
         F.date_format(d, "yyyyMMdd").cast("int").alias("date_key"), "full_date", F.dayofmonth(d).alias("day_of_month"), F.dayofweek(d).alias("day_of_week"),
         F.date_format(d, "EEEE").alias("day_name"), F.weekofyear(d).alias("week_of_year"), F.month(d).alias("month_number"), F.date_format(d, "MMMM").alias("month_name"),
         F.quarter(d).alias("quarter_number"), F.year(d).alias("year_number"), F.dayofweek(d).isin(1, 7).alias("is_weekend"),
@@ -98,19 +100,25 @@ def fact_order(orders: DataFrame, users: DataFrame, run_ts: Column) -> DataFrame
 def price_as_of(items: DataFrame, prices: DataFrame, at: str = "order_timestamp") -> DataFrame:
     """Items with the price interval that holds ``at``: valid_from <= at < valid_to.
 
-    An as-of join by sorting: items and interval starts of a product are merged in time order and every item takes the
-    last start before it. Work is linear in both sides, where joining all intervals of a product multiplies them.
+    Intervals of a product are put in pages of ``PAGE``, each a sorted array with the span that it answers for, and an
+    item joins the one page of its time and takes the last start in it. No item is compared with more than a page, and
+    a product with very many items is no task of its own: adaptive execution broadcasts pages that are few and splits
+    the items of a skewed join. Items without a time find nothing.
     """
     kind = dict(items.dtypes)[at]
-    start = prices.select("product_id", F.col("valid_from").cast(kind).alias("_at"), F.lit(0).alias("_side"), F.struct("product_price_key", "price_history_id", "price", F.col("valid_to").cast(kind).alias("valid_to"), F.col("valid_from").cast(kind).alias("valid_from")).alias("_p"))
-    sale = items.select("product_id", F.col(at).alias("_at"), F.lit(1).alias("_side"), F.struct(*items.columns).alias("_i"))
-    both = start.unionByName(sale, allowMissingColumns=True)
-    # a start at the sale's own instant holds; items without a time sort first and find nothing
-    w = Window.partitionBy("product_id").orderBy(F.col("_at").asc_nulls_first(), "_side").rowsBetween(Window.unboundedPreceding, 0)
-    found = both.withColumn("_found", F.last("_p", ignorenulls=True).over(w)).where("_side = 1")
-    holds = F.col("_found.valid_to").isNull() | (F.col("_at") < F.col("_found.valid_to"))
-    price = F.when(holds & F.col("_at").isNotNull(), F.col("_found"))
-    return found.select("_i.*", price.alias("_price")).select(*items.columns, "_price.product_price_key", "_price.price_history_id", F.col("_price.price").alias("historical_product_price"))
+    time = lambda c: F.col(c).cast(kind).alias(c)
+    by_product = Window.partitionBy("product_id").orderBy("valid_from", "price_history_id")
+    starts = prices.where("product_id is not null and valid_from is not null").select("product_id", time("valid_from"), "price_history_id", "product_price_key", "price", time("valid_to"))
+    paged = starts.withColumn("_page", F.floor((F.row_number().over(by_product) - 1) / PAGE))
+    pages = paged.groupBy("product_id", "_page").agg(F.array_sort(F.collect_list(F.struct(*starts.columns[1:]))).alias("_starts"))
+    pages = pages.withColumn("_from", F.col("_starts")[0]["valid_from"])
+    pages = pages.select(F.col("product_id").alias("_product"), "_starts", "_from", F.lead("_from").over(Window.partitionBy("product_id").orderBy("_page")).alias("_to"))
+    when = F.col(at)
+    own = (F.col("product_id") == F.col("_product")) & (when >= F.col("_from")) & (F.col("_to").isNull() | (when < F.col("_to")))
+    last = F.try_element_at(F.filter("_starts", lambda x: x["valid_from"] <= when), F.lit(-1))
+    found = items.join(pages, own, "left").withColumn("_found", last)
+    price = F.when(F.col("_found.valid_to").isNull() | (when < F.col("_found.valid_to")), F.col("_found"))
+    return found.withColumn("_found", price).select(*items.columns, "_found.product_price_key", "_found.price_history_id", F.col("_found.price").alias("historical_product_price"))
 
 
 def fact_order_item(items: DataFrame, orders: DataFrame, products: DataFrame, prices: DataFrame, run_ts: Column) -> DataFrame:

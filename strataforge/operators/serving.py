@@ -5,13 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..contracts import BEHAVIORAL_OBT, EVENT_OPTIONAL, FACT_MONEY, TABLES, TRANSACTIONAL_OBT, conform
+from ..contracts import BEHAVIORAL_OBT, EVENT_OPTIONAL, FACT_MONEY, TABLES, TRANSACTIONAL_OBT, conform, require_columns
 from ..functions.clean import blank_to_null
 from ..functions.rules import first_code, realtime_rules
 
 
+_MADE = ("session_start_at", "session_end_at", "session_duration_sec", "session_event_count", "device_name", "primary_device_key", "event_category", "cart_items_json", "dq_flags_json", "gold_loaded_at")
+#: What the wide table takes from the event fact.
+BEHAVIORAL_FACT = (*(c for c in BEHAVIORAL_OBT if c not in _MADE), "cart_items", "dq_flags")
+_ITEM_VALUES = ("quantity", "unit_price", "discount_amount", "item_total_amount", "price_difference", "silver_updated_at")
+
+
 def behavioral_obt(fact: DataFrame, devices: DataFrame, event_types: DataFrame, sessions: DataFrame, run_ts: Column) -> DataFrame:
     """Events with their device, type and session; 52 columns. The optimizer broadcasts dimensions that are small."""
+    require_columns(fact, BEHAVIORAL_FACT, "the event fact")
     device = devices.select("device_key", "device_name")
     kind = event_types.select("event_type_key", "event_category")
     session = sessions.select("session_key", "session_start_at", "session_end_at", "session_duration_sec", F.col("event_count").alias("session_event_count"), "primary_device_key")
@@ -22,6 +29,7 @@ def behavioral_obt(fact: DataFrame, devices: DataFrame, event_types: DataFrame,
 
 def transactional_obt(items: DataFrame, orders: DataFrame, prices: DataFrame, products: DataFrame, users: DataFrame, dates: DataFrame) -> DataFrame:
     """Order items with order, price, product, user and day; 35 columns, with defaults where a dimension is missing."""
+    require_columns(items, ("order_item_id", "order_id", "product_id", "product_price_key", "order_date_key", *_ITEM_VALUES), "the item fact")
     o = orders.select("order_id", "user_id", "order_timestamp", "status", "payment_method", F.col("total_amount").alias("order_total_amount"))
     p = prices.select("product_price_key", "price_history_id")
     d = products.select("product_id", "product_name", "category_id", "category_name")
@@ -41,6 +49,7 @@ def transactional_obt(items: DataFrame, orders: DataFrame, prices: DataFrame, pr
     return made.select(*TRANSACTIONAL_OBT)
 
 
+# fixed values: what the per-message tables put in lower case, and columns whose blanks are nulls
 _EPOCH = "1970-01-01 00:00:00"
 _REALTIME_LOWER = {"orders": ("status",), "users": ("email",), "behavioral": ("event_type", "device")}
 _REALTIME_OPTIONAL = {

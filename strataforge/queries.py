@@ -738,7 +738,7 @@ def stream_realtime_events(spark, sf):
 _AVRO = '{"type":"record","name":"e","fields":[{"name":"event_id","type":"long"}]}'
 
 
-@query("SELECT event_id, CASE event_id % 5 WHEN 1 THEN 'invalid_magic_byte' WHEN 2 THEN 'schema_id_mismatch' WHEN 3 THEN 'value_too_short' END AS decode_error, CASE WHEN event_id % 5 IN (0, 4) THEN event_id END AS decoded FROM events")
+@query("SELECT event_id, CASE event_id % 5 WHEN 1 THEN 'invalid_magic_byte' WHEN 2 THEN 'schema_id_mismatch' WHEN 3 THEN 'message_too_short' END AS decode_error, CASE WHEN event_id % 5 IN (0, 4) THEN event_id END AS decoded FROM events")
 def avro_wire_decode(spark, sf):
     """Framed values of integers of any length, with faults by modulus."""
     from .sources.avro import decode

@@ -15,6 +15,7 @@ def build_session(app: str = "strataforge", master: str | None = None, time_zone
         "spark.sql.session.timeZone": time_zone,
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
     } | {k.replace("__", "."): v for k, v in conf.items()}
     return builder.config(map=settings).getOrCreate()

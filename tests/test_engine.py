@@ -183,7 +183,7 @@ def records(spark):
 
 def test_avro_flags(spark):
     got = {r["offset"]: r for r in avro.decode(records(spark), SCHEMA, 7).collect()}
-    assert [got[i]["decode_error"] for i in range(1, 7)] == [None, "invalid_magic_byte", "value_too_short", "schema_id_mismatch", "avro_decode_failed", "value_too_short"]
+    assert [got[i]["decode_error"] for i in range(1, 7)] == [None, "invalid_magic_byte", "message_too_short", "schema_id_mismatch", "avro_decode_failed", "avro_decode_failed"]
     assert got[1]["user_id"] == "U1" and got[1]["quantity"] == -1 and got[1]["tags"] == [1, 300] and got[4]["user_id"] is None
 
 
@@ -195,6 +195,11 @@ def test_stream_equals_batch(spark, tmp_path):
     q = bronze.write_stream(bronze.bronze_events(live, SCHEMA, 7, at), f"{tmp_path}/out", f"{tmp_path}/ck", ["year", "month", "day"], "bronze_events")
     bronze.await_all([q], 120)
     assert q.exception() is None
+    assert batch.columns[: len(bronze.LINEAGE)] == bronze.LINEAGE and "device" not in batch.columns
+    first = batch.where("kafka_offset = 1").first()
+    assert first["event_timestamp"] == ts("2024-01-01 10:00:00") and first["kafka_timestamp"] == ts("2024-01-01 10:00:05") and first["is_valid"]
+    second = batch.where("kafka_offset = 5").first()["validation_errors"]
+    assert second == [f"missing_{c}" for c in ("timestamp", "user_id", "event_type", "device_type", "session_id")] + ["invalid_event_timestamp", "avro_decode_failed"]
     pick = ["kafka_offset", "event_id", "event_type", "device_type", "is_valid", "validation_errors"]
     out = spark.read.parquet(f"{tmp_path}/out")
     assert sorted(map(str, out.select(*pick).collect())) == sorted(map(str, batch.select(*pick).collect()))
@@ -276,6 +281,62 @@ def test_replacing_a_partition_writes_it_only(spark, tmp_path):
     assert {r["v"] for r in store.read("t").where("id in (0, 99)").collect()} == {9} and store.read("t").count() == 41
 
 
+def test_merges_write_touched_folders_only(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}/s")
+    at = F.timestamp_seconds(F.col("id") * 43_200)
+    rows = spark.range(8).select("id", at.alias("t"), F.lit(1).alias("v"))
+    store.ensure("t", rows.schema, ["days(t)", "bucket(2, id)"])
+    store.merge("t", rows, ["id"], Merge(INSERT_ONLY))
+    files = lambda: {str(f) for f in (tmp_path / "s" / "t").rglob("*.parquet")}
+    old = files()
+    assert all("/t_day=1970-01-0" in f and "/id_bucket=" in f for f in old) and store.read("t").columns == ["id", "t", "v"]
+    # insert-only adds what is new
+    store.merge("t", spark.range(6, 10).select("id", at.alias("t"), F.lit(5).alias("v")), ["id"], Merge(INSERT_ONLY))
+    added = files() - old
+    assert added and all("t_day=1970-01-05" in f for f in added)
+    assert sorted((r["id"], r["v"]) for r in store.read("t").collect()) == [(i, 1 if i < 8 else 5) for i in range(10)]
+    # an update moves a row to another day and rewrites its old day and no other
+    before = files()
+    store.merge("t", spark.createDataFrame([(0, ts("1970-01-20 00:00:00"), 7)], "id long, t timestamp, v int"), ["id"], Merge())
+    assert {f.split("t_day=")[1][:10] for f in files() - before} <= {"1970-01-01", "1970-01-20"}
+    got = {r["id"]: (r["t"], r["v"]) for r in store.read("t").collect()}
+    assert len(got) == 10 and got[0] == (ts("1970-01-20 00:00:00"), 7) and got[1][1] == 1
+    store.compact("t")
+    assert store.read("t").count() == 10
+    with pytest.raises(contracts.ContractError):
+        store.ensure("u", rows.withColumnRenamed("v", "t_day").schema, ["days(t)"])
+
+
+def test_price_pages(spark):
+    """More intervals than a page, checked against the definition."""
+    prices = spark.range(kimball.PAGE * 2 + 3).select(F.lit("P").alias("product_id"), F.col("id").alias("n")).select(
+        "product_id", F.concat(F.lit("k"), "n").alias("product_price_key"), F.col("n").cast("string").alias("price_history_id"), F.col("n").cast("decimal(18,2)").alias("price"),
+        F.timestamp_seconds(F.col("n") * 10).alias("valid_from"), F.when(F.col("n") < kimball.PAGE * 2 + 2, F.timestamp_seconds(F.col("n") * 10 + 10)).alias("valid_to"),
+    )
+    sales = spark.range(-1, kimball.PAGE * 2 + 6).select("id", F.lit("P").alias("product_id"), F.when(F.col("id") != 7, F.timestamp_seconds(F.col("id") * 10 + 3)).alias("order_timestamp"))
+    got = {r["id"]: r["price_history_id"] for r in kimball.price_as_of(sales, prices).collect()}
+    last = kimball.PAGE * 2 + 2
+    assert got == {i: None if i in (-1, 7) else str(min(i, last)) for i in range(-1, last + 4)}
+
+
+def test_funnel_chains_minutes_and_ignores_copies(spark):
+    import random
+
+    draw, stages, rows = random.Random(5), ("a", "b", "c"), []
+    for s in range(60):
+        rows += [(f"S{s}", draw.choice(stages), ts("2024-01-01 00:00:00").replace(minute=draw.randrange(4), second=draw.randrange(60)), f"{i}") for i in range(draw.randrange(1, 9))]
+    want = {}
+    for s in {r[0] for r in rows}:
+        depth = 0
+        for _, kind, _, _ in sorted((r for r in rows if r[0] == s), key=lambda r: (r[2], r[3])):
+            depth += kind == (*stages, None)[depth]
+        if depth:
+            want[s] = depth
+    df = spark.createDataFrame(rows + rows[::3], "session_id string, event_type string, event_timestamp timestamp, event_id string")
+    assert {r["session_id"]: r["depth"] for r in reports.funnel_sessions(df, stages=stages).collect()} == want
+    assert reports.funnel_sessions(df, stages=stages, on=F.to_date("event_timestamp") == F.lit("2024-01-02").cast("date")).count() == 0
+
+
 def test_keys_keep_faulty_records_apart(spark):
     same = spark.createDataFrame([(" behavioral.events ", 1, 5, "a"), ("behavioral.events", 1, 5, "b")], "kafka_topic string, kafka_partition int, kafka_offset long, event_type string")
     checked = events.validate_events(same)
