@@ -103,7 +103,7 @@ _CTE = {
  CAST(f.total AS DECIMAL(29,2)) AS order_total_amount, coalesce(p.name, 'Unknown') AS product_name, coalesce(c.name, 'Unknown') AS category_name, coalesce(u.username, 'Unknown') AS username
  FROM f_item f LEFT JOIN products p ON p.product_id = f.product_id LEFT JOIN categories c ON lower(c.name) = p.category LEFT JOIN users u ON u.user_id = f.user_id)""",
     "f_step": """f_step AS (SELECT session_id, event_timestamp, CASE event_type WHEN 'page_view' THEN 1 WHEN 'product_search' THEN 2 WHEN 'add_to_cart' THEN 3 WHEN 'checkout_start' THEN 4 WHEN 'payment_attempt' THEN 5 WHEN 'order_complete' THEN 6 END AS st FROM
- (SELECT session_id, event_timestamp, regexp_replace(lower(trim(event_type)), '[\\s-]+', '_', 'g') AS event_type FROM ev WHERE copy_no = 0 AND trim(session_id) <> ''))""",
+ (SELECT session_id, event_timestamp, regexp_replace(lower(trim(event_type)), '[\\s-]+', '_', 'g') AS event_type FROM ev WHERE trim(session_id) <> ''))""",
     "f_t1": "f_t1 AS (SELECT session_id, min(event_timestamp) AS t FROM f_step WHERE st = 1 GROUP BY session_id)",
     **{f"f_t{k}": f"f_t{k} AS (SELECT e.session_id, min(e.event_timestamp) AS t FROM f_step e JOIN f_t{k - 1} p ON e.session_id = p.session_id WHERE e.st = {k} AND e.event_timestamp > p.t GROUP BY e.session_id)" for k in range(2, 7)},
     "f_sess": """f_sess AS (SELECT f_t1.session_id, f_t1.t AS session_start_time, CASE WHEN f_t6.t IS NOT NULL THEN 6 WHEN f_t5.t IS NOT NULL THEN 5 WHEN f_t4.t IS NOT NULL THEN 4 WHEN f_t3.t IS NOT NULL THEN 3 WHEN f_t2.t IS NOT NULL THEN 2 ELSE 1 END AS depth
@@ -584,7 +584,7 @@ def financial_summary_by_order(spark, sf):
 
 
 def _funnel(spark, sf):
-    rows = view(spark, sf, "ev").where("copy_no = 0 and trim(session_id) <> ''").withColumn("event_type", cl.snake(F.col("event_type")))
+    rows = view(spark, sf, "ev").withColumn("event_type", cl.snake(F.col("event_type")))
     return reports.funnel_sessions(rows, F.lit("2024-03-01 00:00:00").cast("timestamp"), tie="source_id")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.serving import realtime
+from .bronze import bronze_events, bronze_transactional
 
 #: The time whose month is a table's partition; items have none.
 MONTH_OF = {"behavioral": "event_timestamp", "orders": "event_timestamp", "users": "ingested_at", "products": "ingested_at", "categories": "ingested_at", "product_price_history": "valid_from_timestamp"}
@@ -21,6 +22,13 @@ def serve(messages: DataFrame, table: str, path: str, checkpoint: str, ingested_
     return (writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)).start()
 
 
+def serve_messages(records: DataFrame, table: str, schema_text: str, schema_id: int | None, path: str, checkpoint: str, ingested_at: Column | None = None, trigger: str | None = None) -> StreamingQuery:
+    """The serving table of a topic of framed messages: decoded, projected and appended as one stateless stream."""
+    at = ingested_at if ingested_at is not None else F.current_timestamp()
+    rows = bronze_events(records, schema_text, schema_id, at) if table == "behavioral" else bronze_transactional(records, table, schema_text, schema_id, at)
+    return serve(rows.drop("validation_errors", "is_valid"), table, path, checkpoint, at, trigger)
+
+
 def deduplicated(events: DataFrame, keys: list[str], at: str = "event_timestamp", late: str = "10 minutes") -> DataFrame:
     """An extension: copies of an event within the lateness are dropped, with bounded state."""
     return events.withWatermark(at, late).dropDuplicatesWithinWatermark(keys)

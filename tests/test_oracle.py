@@ -7,6 +7,7 @@ import os
 import duckdb
 import pytest
 
+from strataforge import job_queries  # noqa: F401 (registers its queries)
 from strataforge.queries import ORACLE_SQL, QUERIES
 
 DATA = "/root/testdata/sf0.001"
