@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from datetime import date, timedelta
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,17 +69,41 @@ def resolve(table: str, day: str, have: Sequence[str], window: int = 1) -> list[
     return [p for p in have if p in near]
 
 
+def footers(spark: SparkSession, files: Sequence[str], at_once: int = 64) -> list[tuple[str, str]]:
+    """(file, digest of its footer's schema), ascending; a file system that only Spark can open gives every file its own."""
+    if not files:
+        return []
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import hashlib
+
+        import pyarrow.fs as pafs
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            paths, digests = batch.column(0).to_pylist(), []
+            for p in paths:
+                try:
+                    fs, at = pafs.FileSystem.from_uri(re.sub("^file:/+", "file:///", re.sub("^s3[an]://", "s3://", p)))
+                    digests.append(hashlib.sha256(str(pq.read_schema(at, filesystem=fs).remove_metadata()).encode()).hexdigest())
+                except (OSError, ValueError, pa.ArrowException):
+                    digests.append(p)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.string())], names=["file", "digest"])
+
+    listed = spark.createDataFrame([(f,) for f in files], "file string").repartition(-(-len(files) // at_once))
+    return sorted((r[0], r[1]) for r in listed.mapInArrow(run, "file string, digest string").collect())
+
+
 def read_schema_groups(spark: SparkSession, files: Sequence[str], columns: dict[str, str]) -> DataFrame:
     """Files of differing schemas as one table: files of one footer schema are read together, cast, and unioned.
 
-    mergeSchema can't reconcile a double with a decimal; a cast per group can. Footers are read by a Spark job per file
-    group listing, on the driver only the schemas are compared.
+    mergeSchema can't reconcile a double with a decimal; a cast per group can. Footers are read in tasks; the driver
+    gets a digest per file and opens one file per group.
     """
-    groups: dict[str, tuple[T.StructType, list[str]]] = {}
-    for f in files:
-        schema = spark.read.parquet(f).schema
-        groups.setdefault(schema.json(), (schema, []))[1].append(f)
-    parts = [_with_file(spark.read.schema(schema).parquet(*paths), columns) for schema, paths in groups.values()]
+    groups: dict[str, list[str]] = {}
+    for f, digest in footers(spark, files):
+        groups.setdefault(digest, []).append(f)
+    parts = [_with_file(spark.read.schema(spark.read.parquet(paths[0]).schema).parquet(*paths), columns) for paths in groups.values()]
     if not parts:
         return spark.createDataFrame([], T.StructType.fromDDL(", ".join(f"`{c}` {t}" for c, t in columns.items())))
     out = parts[0]

@@ -5,7 +5,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from strataforge import contracts
+from strataforge import contracts, jobs
 from strataforge.functions import clean, keys
 from strataforge.operators import dedup, events, kimball, reports, serving, transactional
 from strataforge.plans import backfill, gold, migrate, silver
@@ -348,3 +348,34 @@ def test_keys_keep_faulty_records_apart(spark):
     key, source = keys.event_identity(bare)
     got = bare.select(key.alias("k"), source.alias("s"), F.sha2(F.lit("fallback|s|x").cast("binary"), 256).alias("w")).first()
     assert got["k"] == got["w"] and got["s"] == "fallback_fields"
+
+
+def test_jobs_from_messages_to_wide_table(spark, tmp_path):
+    at = f"file://{tmp_path}"
+    (tmp_path / "registry").mkdir()
+    (tmp_path / "registry" / "ev-value.json").write_text(json.dumps({"schema": SCHEMA, "id": 7}))
+    records(spark).write.parquet(f"{tmp_path}/messages")
+    env = {"STRATAFORGE_STORE": f"{at}/store", "STRATAFORGE_BRONZE": "overridden", "STRATAFORGE_REGISTRY": f"{tmp_path}/registry", "STRATAFORGE_SHUFFLE_PARTITIONS": "8"}
+    config = jobs.Config.of(env, {"bronze": f"{at}/bronze", "messages": f"{tmp_path}/messages", "checkpoints": f"{at}/checkpoints", "events_topic": "ev", "store": None})
+    assert config.shuffle_partitions == 8 and config.bronze == f"{at}/bronze"
+    day, now = date(2024, 1, 1), ts("2024-01-02 00:00:00")
+    jobs.run(spark, "bronze-events", config)
+    assert jobs.run(spark, "backfill-events", config, date(2023, 12, 31), day, now) == {date(2023, 12, 31): "no source", day: "run"}
+    assert jobs.run(spark, "events-wide", config, day, now=now) == 1
+    row = Store(spark, f"{at}/store").read("behavioral_obt").first()
+    assert row["event_timestamp"] == ts("2024-01-01 10:00:00") and row["user_id"] == "U1"
+    for bad in ({"STRATAFORGE_SHUFFLE_PARTITIONS": "many"}, {"STRATAFORGE_DATES_FROM": "2040-01-01"}):
+        with pytest.raises(contracts.ContractError):
+            jobs.Config.of(bad)
+    for job, missing in (("events", jobs.Config()), ("serve", config), ("nothing", config)):
+        with pytest.raises(contracts.ContractError):
+            jobs.run(spark, job, missing, day)
+
+
+def test_footers_in_tasks(spark, tmp_path):
+    spark.range(3).write.parquet(f"{tmp_path}/a")
+    spark.range(3).select(F.col("id").cast("string")).write.parquet(f"{tmp_path}/b")
+    files = partitions.parquet_files(spark, [f"file://{tmp_path}/a", f"file://{tmp_path}/b"])
+    found = partitions.footers(spark, files)
+    assert [f for f, _ in found] == files and len({d for _, d in found}) == 2
+    assert partitions.footers(spark, []) == []
