@@ -40,7 +40,7 @@ RATE, SEED = 0.1, 1
 #: Chunks of at most so many symbols are cut together, by width; longer ones, which are rare, one by one.
 WIDTHS = (4, 6, 8, 10, 12, 16, 24, 40)
 #: Occurrences of chunks that are cut together, and characters of texts that are read together.
-TOGETHER, CHARACTERS = 1 << 14, 1 << 21
+TOGETHER, CHARACTERS = 1 << 14, 1 << 19
 _CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _MASK = (1 << 64) - 1
 #: What the starts of a pair's symbols and its end add to a hash.
